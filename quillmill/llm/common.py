@@ -12,6 +12,9 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Stands for a null document id inside joins.
+NULL_ID = -(1 << 63)
+
 #: Base columns of the corpus table, in order.
 DOCUMENT_COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -83,6 +86,18 @@ def small_batches(batches: Iterator[pa.RecordBatch], text: str = "text", limit:
                 yield batch.slice(a, b - a)
 
 
+def hashed_sample(df: DataFrame, key: str, rows: int) -> DataFrame:
+    """About ``rows`` rows (twice as many at most) whose hashed key is below a threshold.
+
+    The threshold follows from the row count, so nothing is sorted and nothing but the sample moves.
+    """
+    total = df.count()
+    if total <= rows:
+        return df.limit(rows)
+    bound = int(rows / total * 2**64) - 2**63
+    return df.where(F.xxhash64(F.lit("sample"), F.col(key)) < bound).limit(2 * rows)
+
+
 class BoundedCache(dict):
     """A worker's cache: emptied when it outgrows its bound, so that memory stays flat."""
 
@@ -95,6 +110,21 @@ class BoundedCache(dict):
             self.clear()
 
 
+def with_text_key(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """``did, rh, text``: never-null keys of a document.  Null ids share the smallest long."""
+    return docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(NULL_ID)).alias("did"), row_key(doc_id, text).alias("rh"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+
+
+def attach(docs: DataFrame, notes: DataFrame, how: str = "left", bytes_per_row: int = 512) -> DataFrame:
+    """Join ``notes`` (one row per ``did, rh``, materialized) to documents.
+
+    While the notes' counted size is small they are broadcast and no text moves; beyond that both
+    sides are dealt by key, where adaptive execution splits skewed partitions.
+    """
+    small = fits_broadcast(notes, bytes_per_row)
+    return docs.join(F.broadcast(notes) if small else notes.hint("shuffle_merge"), ["did", "rh"], how)
+
+
 def fits_broadcast(df: DataFrame, bytes_per_row: int, limit_bytes: int = 16 << 20) -> bool:
     """Whether a table counted now stays below a broadcast limit.  Call on a materialized table."""
     return df.count() * bytes_per_row <= limit_bytes

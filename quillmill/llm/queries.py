@@ -28,3 +28,21 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (op3_token_counts, op9_language_id, op10_packing)}
 ORACLE_SQL: dict[str, str] = {}
+
+
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quillmill.llm.substring_dedup import dedup_substrings
+
+    return dedup_substrings(read_table(spark, sf_dir, "documents"))
+
+
+QUERIES["op1_substring_dedup"] = op1_substring_dedup
+
+
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quillmill.llm.suffix_dedup import dedup_suffixes
+
+    return dedup_suffixes(read_table(spark, sf_dir, "documents")).drop("kept")
+
+
+QUERIES["op7_suffix_dedup"] = op7_suffix_dedup
