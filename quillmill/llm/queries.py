@@ -46,3 +46,12 @@ def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op7_suffix_dedup"] = op7_suffix_dedup
+
+
+def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quillmill.llm.jaccard_join import jaccard_components
+
+    return jaccard_components(read_table(spark, sf_dir, "documents")).drop("set_key")
+
+
+QUERIES["op8_ngram_jaccard_join"] = op8_ngram_jaccard_join
