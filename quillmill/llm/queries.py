@@ -55,3 +55,19 @@ def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op8_ngram_jaccard_join"] = op8_ngram_jaccard_join
+
+
+def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quillmill.llm.decontaminate import contaminations
+
+    return contaminations(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quillmill.llm.license_scan import scan_licenses
+
+    return scan_licenses(read_table(spark, sf_dir, "documents")).drop("matches")
+
+
+QUERIES["op5_benchmark_decontamination"] = op5_benchmark_decontamination
+QUERIES["op2_license_scan"] = op2_license_scan
