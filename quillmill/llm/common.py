@@ -115,14 +115,13 @@ def with_text_key(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     return docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(NULL_ID)).alias("did"), row_key(doc_id, text).alias("rh"), F.coalesce(F.col(text), F.lit("")).alias("text"))
 
 
-def attach(docs: DataFrame, notes: DataFrame, how: str = "left", bytes_per_row: int = 512) -> DataFrame:
-    """Join ``notes`` (one row per ``did, rh``, materialized) to documents.
+def attach(docs: DataFrame, notes: DataFrame, how: str = "left") -> DataFrame:
+    """Join ``notes`` (one row per ``did, rh``) to documents, both dealt by key at every size.
 
-    While the notes' counted size is small they are broadcast and no text moves; beyond that both
-    sides are dealt by key, where adaptive execution splits skewed partitions.
+    Notes grow with the corpus, so they are never broadcast; adaptive execution splits partitions
+    that skewed keys make large.
     """
-    small = fits_broadcast(notes, bytes_per_row)
-    return docs.join(F.broadcast(notes) if small else notes.hint("shuffle_merge"), ["did", "rh"], how)
+    return docs.join(notes.hint("shuffle_merge"), ["did", "rh"], how)
 
 
 def fits_broadcast(df: DataFrame, bytes_per_row: int, limit_bytes: int = 16 << 20) -> bool:

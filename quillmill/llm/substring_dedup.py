@@ -155,7 +155,7 @@ def dedup_substrings(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
     keyed = with_text_key(docs, doc_id, text)
     places = materialize(repeated_places(keyed, spread, smallest, largest), "chunk-places")
     own = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).isNull().alias("no_text"), F.coalesce(F.col(doc_id).cast("long"), F.lit(NULL_ID)).alias("did"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("rh"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    joined = attach(own, places, bytes_per_row=400).select("doc_id", "no_text", "text", "places")
+    joined = attach(own, places).select("doc_id", "no_text", "text", "places")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches):

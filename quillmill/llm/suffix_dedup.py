@@ -232,7 +232,7 @@ def settle_slabs(length: int, slab_bytes: int):
 def contexts(keyed: DataFrame, needed: DataFrame, length: int) -> DataFrame:
     """``kh, did, rh, place, weight, context``: the bytes of each needed range's extent."""
     per_document = materialize(needed.groupBy("did", "rh").agg(F.collect_list(F.struct("kh", "place", "weight")).alias("ranges")), "suffix-needed")
-    joined = attach(keyed, per_document, "inner", bytes_per_row=400)
+    joined = attach(keyed, per_document, "inner")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches):
@@ -309,7 +309,7 @@ def dedup_suffixes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     keyed = with_text_key(docs, doc_id, text)
     spans = materialize(removed_spans(keyed, length, gram, slab_bytes, slab_ranges), "suffix-spans")
     own = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(doc_id).cast("long"), F.lit(NULL_ID)).alias("did"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("rh"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    joined = attach(own, spans, bytes_per_row=400).select("doc_id", "text", "spans")
+    joined = attach(own, spans).select("doc_id", "text", "spans")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches):
