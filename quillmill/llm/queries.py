@@ -71,3 +71,12 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES["op5_benchmark_decontamination"] = op5_benchmark_decontamination
 QUERIES["op2_license_scan"] = op2_license_scan
+
+
+def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quillmill.llm.lm_score import score_documents
+
+    return score_documents(read_table(spark, sf_dir, "documents"))
+
+
+QUERIES["op6_lm_scoring"] = op6_lm_scoring
