@@ -80,3 +80,12 @@ def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op6_lm_scoring"] = op6_lm_scoring
+
+
+def op4_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quillmill.llm.embedding_dedup import near_duplicates
+
+    return near_duplicates(read_table(spark, sf_dir, "embeddings"))
+
+
+QUERIES["op4_embedding_near_dedup"] = op4_embedding_near_dedup
