@@ -169,3 +169,27 @@ def dedup_substrings(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["doc_id", "text", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
     return joined.mapInArrow(run, "doc_id long, text string, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+
+
+def cut_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n_chars: str = "n_chars", min_run: int = 96, spread: int = 2, smallest: int = 16, largest: int = 512) -> DataFrame:
+    """``docs``, with all its columns, its texts without repeats and ``n_chars`` counted anew.
+
+    Every row stays; a text that is all repeats becomes empty, a null text stays null.
+    """
+    places = materialize(repeated_places(with_text_key(docs, doc_id, text), spread, smallest, largest), "chunk-places")
+    names, kinds = docs.columns, docs.schema
+    own = docs.select(F.struct(*[F.col(c) for c in names]).alias("row"), F.coalesce(F.col(doc_id).cast("long"), F.lit(NULL_ID)).alias("did"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("rh"))
+    joined = attach(own, places).select("row.*", F.col("places").alias("repeat_places"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in small_batches(batches, text):
+            where = batch.column(batch.num_columns - 1).to_pylist()
+            kept = [t if t is None or not p else cut_spans(t.encode(), runs_of(np.array(p, np.int64), min_run)).decode() for t, p in zip(batch.column(names.index(text)).to_pylist(), where)]
+            columns = [batch.column(k) for k in range(len(names))]
+            columns[names.index(text)] = pa.array(kept, columns[names.index(text)].type)
+            if n_chars in names:
+                at = names.index(n_chars)
+                columns[at] = pa.array([old if not p else len(t) for old, t, p in zip(columns[at].to_pylist(), kept, where)], columns[at].type)
+            yield pa.RecordBatch.from_arrays(columns, names)
+
+    return joined.mapInArrow(run, kinds)
