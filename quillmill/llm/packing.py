@@ -73,45 +73,79 @@ def first_fit_decreasing(sizes: np.ndarray, capacity: int) -> tuple[np.ndarray,
 
 
 class WordEncoder:
-    """Ids of a text as little-endian uint32 bytes, by caches of white-space words and pre-tokens."""
+    """Ids of texts as little-endian uint32 bytes, by a cache of white-space words.
 
-    def __init__(self, path: str, cache_limit: int = 300_000):
+    A pre-token's last id carries the end-of-word mark, so words that the cache lacks are encoded many
+    at a time, joined by spaces, and told apart by counting those marks.  Texts with characters beyond the
+    ranges of ``unusual``, where normalization could reach across pre-tokens, are encoded whole.
+    """
+
+    def __init__(self, path: str, cache_limit: int = 1_000_000):
         import regex
 
         self.tokenizer = load_tokenizer(path)
         self.findall = regex.compile(WORD_PATTERN).findall
-        self.plain = regex.compile(r"[\x20-\x7e\xa1-\xac\xae-ɏ]*").fullmatch
-        self.odd_space = regex.compile("[\x00-\x08\x0e-\x1f\x7f-\xa0\xadɐ-\U0010ffff]").search
-        self.words, self.tokens = BoundedCache(cache_limit), BoundedCache(cache_limit)
+        self.unusual = regex.compile("[^\t\n\r\x20-\x7e\xa1-\xac\xae-\u012f\u0131-\u024f\u0400-\u052f\u2010-\u2027\u2030-\u205e]").search
+        size = self.tokenizer.get_vocab_size()
+        self.last = np.array([(self.tokenizer.id_to_token(i) or "").endswith("</w>") for i in range(size)])
+        self.words = BoundedCache(cache_limit)
 
     def _raw(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def _word(self, word: str) -> bytes:
-        """Ids of one word without white space."""
-        if "<|" in word or not self.plain(word):
-            return self._raw(word)
-        out, tokens = [], self.tokens
-        for token in self.findall(word.lower()):
-            ids = tokens.get(token)
-            if ids is None:
-                tokens.make_room()
-                ids = tokens[token] = self._raw(token)
-            out.append(ids)
-        return b"".join(out)
-
-    def encode(self, text: str) -> bytes:
-        if self.odd_space(text):
-            return self._raw(text)
-        words, split = self.words, text.split()
-        try:
-            return b"".join([words[w] for w in split])
-        except KeyError:
-            words.make_room()
-            for w in split:
-                if w not in words:
-                    words[w] = self._word(w)
-            return b"".join([words[w] for w in split])
+    def _pre_tokens(self, word: str) -> int:
+        """How many pre-tokens a word without white space has."""
+        if word.isalpha():
+            return 1
+        if word[-1] in ".," and word[:-1].isalpha():
+            return 2
+        return len(self.findall(word.lower()))
+
+    def _learn(self, missed: set[str]) -> None:
+        fresh = []
+        for w in missed:
+            if "<|" in w:
+                self.words[w] = self._raw(w)
+            else:
+                fresh.append(w)
+        for k in range(0, len(fresh), 2000):
+            some = fresh[k : k + 2000]
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, "<u4")
+            ends = np.flatnonzero(self.last[ids]) + 1
+            marks = np.cumsum([self._pre_tokens(w) for w in some])
+            if marks[-1] == len(ends) and ends[-1] == len(ids):
+                data, cuts = ids.tobytes(), (4 * ends[marks - 1]).tolist()
+                self.words.update(zip(some, [data[a:b] for a, b in zip([0, *cuts], cuts)]))
+            else:
+                self.words.update((w, self._raw(w)) for w in some)
+
+    def encode(self, texts: list[str]) -> Iterator[bytes]:
+        self.words.make_room()
+        get, missed, out = self.words.get, set(), []
+        for t in texts:
+            if self.unusual(t):
+                out.append((None, [self._raw(t)], False))
+                continue
+            split = t.split()
+            ids = list(map(get, split))
+            some = None in ids
+            if some:
+                missed.update([w for w, x in zip(split, ids) if x is None])
+            out.append((split, ids, some))
+        if missed:
+            self._learn(missed)
+        for split, ids, some in out:
+            yield b"".join([self.words[w] if x is None else x for w, x in zip(split, ids)] if some else ids)
+
+
+_encoders: dict[str, WordEncoder] = {}
+
+
+def worker_encoder(path: str) -> WordEncoder:
+    """The Python worker's encoder, whose caches outlive a task."""
+    if path not in _encoders:
+        _encoders[path] = WordEncoder(path)
+    return _encoders[path]
 
 
 def cut_pieces(docs: DataFrame, path: str, length: int, end_id: int, groups: int, seed: int, doc_id: str, text: str) -> DataFrame:
@@ -119,11 +153,11 @@ def cut_pieces(docs: DataFrame, path: str, length: int, end_id: int, groups: int
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordEncoder(path)
+        encoder = worker_encoder(path)
         for batch in small_batches(batches):
             out = []
-            for d, t, g in zip(batch.column("doc_id").to_pylist(), texts_of(batch.column("text")), batch.column("pack_group").to_pylist()):
-                ids = encoder.encode(t) + end
+            for d, ids, g in zip(batch.column("doc_id").to_pylist(), encoder.encode(texts_of(batch.column("text"))), batch.column("pack_group").to_pylist()):
+                ids += end
                 n = len(ids) // 4
                 for start in range(0, n, length):
                     piece = ids[4 * start : 4 * (start + length)]
