@@ -19,7 +19,13 @@ NULL_ID = -(1 << 63)
 DOCUMENT_COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
+#: Rows of an Arrow batch: whole texts are long, and a batch stands in the JVM and in Python at once.
+ARROW_ROWS = "1000"
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table of the driver's data set; bounds Arrow batches for what reads it."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
