@@ -7,6 +7,7 @@ from collections import Counter
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, LongType
 
 #: CJK characters are tokens of their own.
 CJK = r"([\x{2e80}-\x{2fff}\x{3000}-\x{303f}\x{3100}-\x{312f}\x{31a0}-\x{31ef}\x{3200}-\x{4dbf}\x{4e00}-\x{9fff}\x{f900}-\x{faff}\x{fe30}-\x{fe4f}\x{ff00}-\x{ff0f}\x{ff1a}-\x{ff20}\x{ff3b}-\x{ff40}\x{ff5b}-\x{ff65}])"
@@ -23,7 +24,7 @@ def tokens(text: Column) -> Column:
     return F.filter(F.split(out, r"\s+"), lambda t: t != "")
 
 
-@F.pandas_udf("array<bigint>")
+@F.pandas_udf(ArrayType(LongType()))
 def matches(prediction: pd.Series, reference: pd.Series) -> pd.Series:
     """Clipped matches of orders 1 to 4: each n-gram as often as both sides have it."""
 
