@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from quillmill.llm.common import read_table
+from quillmill.llm.oracles import ORACLE_SQL  # noqa: F401
 
 
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -27,7 +28,6 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op3_token_counts, op9_language_id, op10_packing)}
-ORACLE_SQL: dict[str, str] = {}
 
 
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
