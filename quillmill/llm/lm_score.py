@@ -27,7 +27,7 @@ DEPTH = 5
 #: Marks the begin (as context) and the end (as symbol) of a text; no UTF-8 text holds it.
 EDGE = 0xFF
 #: Most contexts kept of each depth.
-KEPT = (1, 256, 2000, 6000, 9000, 12000)
+KEPT = (1, 256, 2000, 5000, 7000, 9000)
 FREQUENT = 1 << 18
 
 
@@ -112,17 +112,23 @@ def log_gamma(x: np.ndarray) -> np.ndarray:
 
 def log_kt(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
     """Log of the Krichevsky-Trofimov block probability of so many zeros and ones."""
-    return log_gamma(zeros + 0.5) + log_gamma(ones + 0.5) - np.log(np.pi) - log_gamma(zeros + ones + 1)
+    out = np.empty_like(zeros)
+    for k in range(0, len(zeros), 512):  # small pieces: the series needs many temporaries
+        a, b = zeros[k : k + 512], ones[k : k + 512]
+        out[k : k + 512] = log_gamma(a + 0.5) + log_gamma(b + 0.5) - np.log(np.pi) - log_gamma(a + b + 1)
+    return out
 
 
 def split_bits(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """From counts by byte (n x 256), the zeros and ones of each of the 256 binary nodes (0 unused)."""
-    tree = np.zeros((len(counts), 512))
-    tree[:, 256:] = counts
-    for node in range(255, 0, -1):
-        tree[:, node] = tree[:, 2 * node] + tree[:, 2 * node + 1]
-    pairs = tree.reshape(len(counts), 256, 2)
-    return pairs[:, :, 0].copy(), pairs[:, :, 1].copy()
+    zeros, ones = np.zeros((len(counts), 256)), np.zeros((len(counts), 256))
+    for k in range(0, len(counts), 512):
+        tree = np.zeros((len(counts[k : k + 512]), 512))
+        tree[:, 256:] = counts[k : k + 512]
+        for node in range(255, 0, -1):
+            tree[:, node] = tree[:, 2 * node] + tree[:, 2 * node + 1]
+        zeros[k : k + 512], ones[k : k + 512] = tree[:, 0::2], tree[:, 1::2]
+    return zeros, ones
 
 
 @dataclass(frozen=True)
@@ -151,9 +157,9 @@ class ContextTree:
         for d in range(depths - 1, -1, -1):
             a, b = split_bits(self.counts[d])
             own = log_kt(a, b)
-            own_p[d] = (a + 0.5) / (a + b + 1)
+            own_p[d] = ((a + 0.5) / (a + b + 1)).astype(np.float32)
             if d == depths - 1:
-                weighted, rest_p[d], weight[d] = own, own_p[d], np.ones_like(own)
+                weighted, rest_p[d], weight[d] = own, own_p[d], np.ones_like(own_p[d])
             else:
                 rest, inside = self.counts[d].copy(), np.zeros_like(own)
                 if len(self.contexts[d + 1]):
@@ -161,8 +167,8 @@ class ContextTree:
                     np.add.at(inside, parent[d + 1], below)
                 a, b = split_bits(np.maximum(rest, 0))
                 inside += log_kt(a, b)
-                rest_p[d] = (a + 0.5) / (a + b + 1)
-                weight[d] = 1 / (1 + np.exp(np.clip(inside - own, -700, 700)))
+                rest_p[d] = ((a + 0.5) / (a + b + 1)).astype(np.float32)
+                weight[d] = (1 / (1 + np.exp(np.clip(inside - own, -700, 700)))).astype(np.float32)
                 weighted = np.logaddexp(own, inside) - np.log(2)
             below = weighted
         states, offsets = [], np.cumsum([0, *map(len, self.contexts)])
@@ -178,11 +184,15 @@ class ContextTree:
     @staticmethod
     def byte_logs(p: np.ndarray) -> np.ndarray:
         """Log10 probability of each byte from the probability of 0 at each node."""
-        out = np.zeros((len(p), 512))
-        for node in range(1, 256):
-            out[:, 2 * node] = out[:, node] + np.log10(p[:, node])
-            out[:, 2 * node + 1] = out[:, node] + np.log10(1 - p[:, node])
-        return out[:, 256:].astype(np.float32)
+        logs = np.empty((len(p), 256), np.float32)
+        for k in range(0, len(p), 512):
+            some = p[k : k + 512].astype(np.float64)
+            out = np.zeros((len(some), 512))
+            for node in range(1, 256):
+                out[:, 2 * node] = out[:, node] + np.log10(some[:, node])
+                out[:, 2 * node + 1] = out[:, node] + np.log10(1 - some[:, node])
+            logs[k : k + 512] = out[:, 256:]
+        return logs
 
     def transitions(self, index: list[dict], offsets: np.ndarray) -> tuple[np.ndarray, int]:
         """The longest kept context that ends a state's context and the byte after it."""
@@ -211,16 +221,16 @@ def build_tree(grams: DataFrame, kept: tuple[int, ...] = KEPT) -> ContextTree:
         by_byte = grams.groupBy(context, F.col("key").bitwiseAND(F.lit(255)).alias("byte")).agg(F.sum("n").alias("n"))
         if d:
             sums = grams.groupBy(context).agg(F.sum("n").alias("n"))
-            found = np.sort(np.array([r.context for r in most_frequent(sums, "n", bound).select("context").collect()], np.int64))
+            found = np.sort(most_frequent(sums, "n", bound).select("context").toArrow().column(0).to_numpy())
             shorter = contexts[d - 1]
             found = found[np.isin(found & ((1 << 8 * (d - 1)) - 1), shorter) & np.isin(found >> 8, shorter)]
             contexts.append(found)
             wanted = grams.sparkSession.createDataFrame([(int(x),) for x in found], "context long")
             by_byte = by_byte.join(F.broadcast(wanted), "context")
         table = np.zeros((len(contexts[d]), 256))
-        rows = by_byte.collect()
-        if rows:
-            table[np.searchsorted(contexts[d], [r.context for r in rows]), [r.byte for r in rows]] = [r.n for r in rows]
+        rows = by_byte.toArrow()
+        if rows.num_rows:
+            table[np.searchsorted(contexts[d], rows.column("context").to_numpy()), rows.column("byte").to_numpy()] = rows.column("n").to_numpy()
         counts.append(table)
     return ContextTree(contexts, counts)
 
@@ -262,9 +272,12 @@ def score_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     total, distinct = tokens + trained, distinct + (trained > 0)
     log_total = float(np.log10(total + 0.5 * (distinct + 1)))
     log_end = float(np.log10(trained + 0.5))
-    frequent = [(bytes(r.token), r.c) for r in most_frequent(vocabulary.where(F.octet_length("token") <= 40), "c", FREQUENT).collect()]
-    least = min((c for _, c in frequent), default=None)
-    shared = spark.sparkContext.broadcast((b" ".join(t for t, _ in frequent), np.array([c for _, c in frequent], np.int64), build_tree(grams).automaton()))
+    frequent = most_frequent(vocabulary.where(F.octet_length("token") <= 40), "c", FREQUENT).select("token", "c").toArrow()
+    counts = frequent.column("c").to_numpy()
+    least = int(counts.min()) if len(counts) else None
+    words = b" ".join(frequent.column("token").to_pylist())
+    del frequent
+    shared = spark.sparkContext.broadcast((words, counts, build_tree(grams).automaton()))
     kind = "row long, doc_id long, held_out boolean, n_tokens long, n_known long, part double, score double, n_bytes long, rare array<struct<token: binary, n: int>>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
