@@ -9,6 +9,7 @@ part in training.  Prediction is map-only over whole texts.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -17,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillmill.llm.common import mix64, small_batches, texts_of
+from quillmill.llm.common import hashed_sample, mix64, small_batches, texts_of
 
 SCHEMA = "doc_id long, held_out boolean, lang_pred string, score double, accepted boolean"
 UNDETERMINED = "und"
@@ -141,14 +142,17 @@ def train(texts: list[str], labels: list[str], buckets: int = 8192, dimensions:
 
 
 def labelled_sample(docs: DataFrame, rows: int, row_bytes: int) -> tuple[list[str], list[str]]:
-    """At most ``rows`` labelled training documents of at most ``row_bytes`` bytes, by hashed id."""
-    usable = docs.where(~is_held_out() & F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.octet_length("text") <= row_bytes) & (F.length("text") > 0))
-    picked = usable.select("text", "lang").orderBy(F.xxhash64("doc_id"), F.xxhash64("text")).limit(rows).collect()
+    """About ``rows`` documents (twice as many at most) by hashed id; of them, the labelled training
+    rows of at most ``row_bytes`` bytes."""
+    usable = ~is_held_out() & F.col("lang").isNotNull() & (F.octet_length("text") <= row_bytes) & (F.length("text") > 0)
+    slim = docs.select("doc_id", "lang", F.when(usable, F.col("text")).alias("text"))
+    picked = [r for r in hashed_sample(slim, "doc_id", rows).select("text", "lang").collect() if r.text]
+    picked.sort(key=lambda r: (zlib.crc32(r.text.encode()), r.text))
     return [r.text for r in picked], [r.lang for r in picked]
 
 
-def fit(docs: DataFrame, sample_rows: int = 2000, sample_bytes: int = 32_768) -> LanguageModel:
-    """Fit on a bounded sample: at most ``sample_rows`` rows of at most ``sample_bytes`` bytes each."""
+def fit(docs: DataFrame, sample_rows: int = 2500, sample_bytes: int = 32_768) -> LanguageModel:
+    """Fit on a bounded sample: ``sample_rows`` rows, twice as many at most, of ``sample_bytes`` each."""
     return train(*labelled_sample(docs.select("doc_id", "text", "lang"), sample_rows, sample_bytes))
 
 

@@ -3,7 +3,7 @@
 Tier one is a compact table of frequent pre-tokens, found in a bounded sample and broadcast: one
 UTF-8 blob, end offsets, and a byte per length.  Tier two is a cache in each Python worker, filled
 by encoding the pre-tokens that tier one misses.  No pre-token is ever shuffled, so one common word
-is no hot key, and the only exchange in the plan is the bounded sample's top-k.
+is no hot key, and the plan has no exchange.
 
 The byte-level pre-tokenizer's pattern is matched here by :mod:`regex`.  Texts with characters of
 U+3000 and above, where Unicode versions could differ, are handed to the tokenizer whole, so that
@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillmill.llm.common import BoundedCache, bytes_of, small_batches, texts_of
+from quillmill.llm.common import BoundedCache, bytes_of, hashed_sample, small_batches, texts_of
 
 #: Fixed value: the byte-level BPE pre-tokenizer's published pattern.
 BYTE_LEVEL_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -68,7 +68,7 @@ class PreTokenCounter:
         self.unusual = regex.compile("[　-\U0010ffff]").search
         specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.specials = regex.compile("|".join(map(regex.escape, specials))) if specials else None
-        self.frequent = unpack_table(table) if table else {}
+        self.table, self.frequent = table, unpack_table(table) if table else {}
         self.cache = BoundedCache(cache_limit)
 
     def count(self, texts: list[str]) -> list[int]:
@@ -101,14 +101,27 @@ class PreTokenCounter:
         return totals
 
 
+_counters: dict[str, PreTokenCounter] = {}
+
+
+def worker_counter(path: str, table) -> PreTokenCounter:
+    """The Python worker's counter, whose cache outlives a task; the table may differ by query."""
+    if path not in _counters:
+        _counters[path] = PreTokenCounter(path)
+    if _counters[path].table is not table:
+        _counters[path].table, _counters[path].frequent = table, unpack_table(table)
+    return _counters[path]
+
+
 def frequent_table(docs: DataFrame, path: str, sample_rows: int = 400, sample_bytes: int = 16_384, entries: int = 32_768, doc_id: str = "doc_id", text: str = "text"):
     """Table of the most frequent pre-tokens in a bounded sample of documents.
 
-    The sample is the ``sample_rows`` documents of at most ``sample_bytes`` bytes whose hashed ids
-    are smallest.  It only decides which lengths are broadcast, never a count's value; the table has
+    The sample is about ``sample_rows`` documents chosen by hashed id (twice as many at most), of
+    which those of at most ``sample_bytes`` bytes count.  It only decides which lengths are broadcast, never a count's value; the table has
     at most ``entries`` entries whatever the corpus holds.
     """
-    sample = docs.where(F.octet_length(text) <= sample_bytes).select(F.col(text).alias("text")).orderBy(F.xxhash64(F.col(doc_id))).limit(sample_rows).collect()
+    picked = hashed_sample(docs.select(F.col(doc_id).alias("doc_id"), F.when(F.octet_length(text) <= sample_bytes, F.col(text)).alias("text")), "doc_id", sample_rows)
+    sample = [row for row in picked.select("text").collect() if row.text]
     counter = PreTokenCounter(path)
     seen = Counter(x for row in sample for piece in (counter.specials.split(row.text) if counter.specials else [row.text]) for x in counter.findall(piece) if len(x) <= 64)
     common = [x for x, _ in sorted(seen.items(), key=lambda kv: (-kv[1], kv[0]))[:entries]]
@@ -127,7 +140,7 @@ def count_tokens(docs: DataFrame, tokenizer_path: str | None = None, limit: int
     table = docs.sparkSession.sparkContext.broadcast(frequent_table(docs, path, doc_id=doc_id, text=text))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = PreTokenCounter(path, table.value)
+        counter = worker_counter(path, table.value)
         for batch in small_batches(batches):
             counts = np.array(counter.count(texts_of(batch.column("text"))), np.int64)
             sizes = pa.array([len(x) for x in bytes_of(batch.column("text"))], pa.int64())
