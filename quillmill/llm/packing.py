@@ -80,7 +80,7 @@ class WordEncoder:
     ranges of ``unusual``, where normalization could reach across pre-tokens, are encoded whole.
     """
 
-    def __init__(self, path: str, cache_limit: int = 1_000_000):
+    def __init__(self, path: str, cache_limit: int = 500_000):
         import regex
 
         self.tokenizer = load_tokenizer(path)
