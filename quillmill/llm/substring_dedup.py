@@ -40,28 +40,39 @@ def gear_hash(data: np.ndarray, table: np.ndarray) -> np.ndarray:
     return h
 
 
-def chunk_ends(data: np.ndarray, table: np.ndarray, spread: int) -> np.ndarray:
-    """Positions after which the content allows a cut: one in ``2**spread`` word ends."""
+def chunk_ends(data: np.ndarray, table: np.ndarray, spread: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Positions after which the content allows a cut, one in ``2**spread`` word ends; all word ends
+    (and, sparsely, ends of characters of three bytes or more); the hash at each of the latter."""
     h = gear_hash(data, table)
-    space = (data == 32) | ((data >= 9) & (data <= 13))
-    allowed = space & (h < (1 << (16 - spread)))
+    possible = (data == 32) | ((data >= 9) & (data <= 13))
     following = np.append(data[1:], 32)
     third = np.zeros(len(data), bool)
     third[2:] = data[:-2] >= 0xE0
-    allowed |= third & (data >= 0x80) & ((following & 0xC0) != 0x80) & (h < (1 << 11))
-    return np.flatnonzero(allowed) + 1
+    wide = third & (data >= 0x80) & ((following & 0xC0) != 0x80)
+    allowed = (possible & (h < (1 << (16 - spread)))) | (wide & (h < (1 << 11)))
+    possible |= wide
+    ends = np.flatnonzero(possible)
+    return np.flatnonzero(allowed) + 1, ends + 1, h[ends]
 
 
-def cut_document(start: int, end: int, allowed: list[int], data: bytes, smallest: int, largest: int) -> list[int]:
-    """Ends of the chunks of ``data[start:end]``: allowed ends, kept between the two sizes."""
+def cut_document(start: int, end: int, allowed: list[int], data: bytes, smallest: int, largest: int, possible: np.ndarray, hashes: np.ndarray) -> list[int]:
+    """Ends of the chunks of ``data[start:end]``: allowed ends, kept between the two sizes.
+
+    Where none comes in time, as in text that repeats one word, the possible end with the smallest
+    hash is taken, the first of equals; only without any is a cut put by length alone.
+    """
     ends, last = [], start
     for p in [*allowed, end]:
         if p - last < smallest and p != end:
             continue
         while p - last > largest:
-            cut = last + largest
-            while cut > last + 1 and data[cut] & 0xC0 == 0x80:
-                cut -= 1
+            lo, hi = np.searchsorted(possible, [last + smallest, last + largest], "left")
+            if lo < hi:
+                cut = int(possible[lo + hashes[lo:hi].argmin()])
+            else:
+                cut = last + largest
+                while cut > last + 1 and data[cut] & 0xC0 == 0x80:
+                    cut -= 1
             ends.append(cut)
             last = cut
         if p > last:
@@ -75,7 +86,7 @@ def chunk_batch(texts: list[bytes], table: np.ndarray, spread: int, smallest: in
     pad = b"\0" * 16
     joined = b"".join(x for t in texts for x in (t, pad))
     data = np.frombuffer(joined, np.uint8)
-    allowed = chunk_ends(data, table, spread)
+    allowed, possible, hashes = chunk_ends(data, table, spread)
     starts = np.cumsum([0, *(len(t) + 16 for t in texts)])[:-1]
     stops = starts + np.array([len(t) for t in texts])
     lo, hi = np.searchsorted(allowed, starts, "right"), np.searchsorted(allowed, stops, "left")
@@ -85,7 +96,7 @@ def chunk_batch(texts: list[bytes], table: np.ndarray, spread: int, smallest: in
     for i, (a, b) in enumerate(zip(starts.tolist(), stops.tolist())):
         if a == b:
             continue
-        ends = cut_document(a, b, allowed[lo[i] : hi[i]], joined, smallest, largest)
+        ends = cut_document(a, b, allowed[lo[i] : hi[i]], joined, smallest, largest, possible, hashes)
         begins = [a, *ends[:-1]]
         digests += [digest(joined[x:y]) for x, y in zip(begins, ends)]
         number += [i] * len(ends)
@@ -144,7 +155,7 @@ def cut_spans(text: bytes, spans: list[tuple[int, int]]) -> bytes:
     return b"".join(kept)
 
 
-def dedup_substrings(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_run: int = 96, spread: int = 2, smallest: int = 16, largest: int = 512) -> DataFrame:
+def dedup_substrings(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_run: int = 96, spread: int = 2, smallest: int = 16, largest: int = 160) -> DataFrame:
     """``doc_id, text, n_bytes, n_removed, n_spans, kept_sha256`` of each row, repeats cut out.
 
     ``text`` is what is left.  The first copy of a passage, in order of id, then place, stays whole.
@@ -171,7 +182,7 @@ def dedup_substrings(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
     return joined.mapInArrow(run, "doc_id long, text string, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
-def cut_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n_chars: str = "n_chars", min_run: int = 96, spread: int = 2, smallest: int = 16, largest: int = 512) -> DataFrame:
+def cut_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n_chars: str = "n_chars", min_run: int = 96, spread: int = 2, smallest: int = 16, largest: int = 160) -> DataFrame:
     """``docs``, with all its columns, its texts without repeats and ``n_chars`` counted anew.
 
     Every row stays; a text that is all repeats becomes empty, a null text stays null.
