@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 #: White space as Python's ``str`` sees it; the class is the same in Java and in RE2.
 SPACES = r"[\x09-\x0d\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+#: A run of white space that is anything but one plain space: the only runs that normalising changes.
+ODD_RUN = SPACES.replace(r"\x1c-\x20", r"\x1c-\x1f") + SPACES + "*| " + SPACES + "+"
 
 # Self-talk phrases, script ranges, heading words, citation patterns and limits that
 # decide which rows are kept.
@@ -39,7 +41,7 @@ NOT_TRADITIONAL = "國並"
 
 def normalize(text: Column) -> Column:
     """White-space runs become one space; ends are trimmed; null becomes empty."""
-    return F.trim(F.regexp_replace(F.coalesce(text, F.lit("")), SPACES + "+", " "))
+    return F.trim(F.regexp_replace(F.coalesce(text, F.lit("")), ODD_RUN, " "))
 
 
 def join_parts(*parts: Column) -> Column:

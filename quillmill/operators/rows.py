@@ -28,6 +28,8 @@ def keep_first(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     more than any other.
     """
     rest = [c for c in df.columns if c not in keys]
+    if rest == order and len(order) == 1:  # a plain minimum is hashed, not sorted
+        return df.groupBy(*keys).agg(F.min(order[0]).alias(order[0])).select(*df.columns)
     packed = F.struct(*[F.col(c) for c in order], *[F.col(c) for c in rest if c not in order])
     first = df.groupBy(*keys).agg(F.min_by(F.struct(*[F.col(c) for c in rest]), F.struct(*[packed[c] for c in order])).alias("_row"))
     return first.select(*[F.col(c) if c in keys else F.col(f"_row.{c}").alias(c) for c in df.columns])
