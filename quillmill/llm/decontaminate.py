@@ -73,7 +73,8 @@ def contaminations(docs: DataFrame, benchmark: DataFrame, share: float = 0.8, ma
     keyed = docs.select(F.col(doc_id).cast("long").alias("doc_id"), row_key(doc_id, text).alias("rh"), words_of(F.col(text)).alias("words"))
     spread = positions(keyed, masks)
     start = (F.col("pos") - F.col("at")).alias("start")
-    if fits_broadcast(table, 600, broadcast_bytes):
+    size = table.agg(F.coalesce(F.sum(120 + 24 * F.size("item_words")), F.lit(0))).first()[0]
+    if size <= broadcast_bytes:
         hits = spread.join(F.broadcast(table), "seed").select("doc_id", "rh", "words", "item_id", "item_words", start)
         return verified(hits, share)
     met = spread.select("doc_id", "rh", "pos", "seed").join(table.hint("shuffle_merge"), "seed").select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("did"), "rh", "item_id", "item_words", start).distinct()
