@@ -49,13 +49,24 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def materialize(df: DataFrame, tag: str) -> DataFrame:
     """Write ``df`` as zstd Parquet in the shared checkpoint folder and read it back.
 
-    The files survive the loss of executors, and readers prune columns.  They stay until the
-    cluster clears its checkpoint folder, since lazily read results may still need them.
+    The files survive the loss of executors, and readers prune columns.  They stay until
+    :func:`discard` or until the cluster clears its checkpoint folder, since lazily read results may
+    still need them.  A side of a join that is an aggregate is written first where its key may be
+    hot: only joins of two plain exchanges have their skewed partitions split.
     """
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark)}/quillmill/{tag}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.materialized_at = path
+    return out
+
+
+def discard(df: DataFrame) -> None:
+    """Delete a materialized table that nothing reads any more."""
+    jvm = df.sparkSession.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path(df.materialized_at)
+    at.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def row_key(doc_id: str = "doc_id", text: str = "text"):

@@ -110,7 +110,7 @@ def chunks(keyed: DataFrame, spread: int, smallest: int, largest: int) -> DataFr
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = gear_table()
-        for batch in small_batches(batches, limit=4_000_000):
+        for batch in small_batches(batches, limit=2_000_000):
             number, offsets, lengths, digests = chunk_batch(bytes_of(batch.column("text")), table, spread, smallest, largest)
             if not len(number):
                 continue
@@ -129,7 +129,7 @@ def chunks(keyed: DataFrame, spread: int, smallest: int, largest: int) -> DataFr
 def repeated_places(keyed: DataFrame, spread: int, smallest: int, largest: int) -> DataFrame:
     """``did, rh, places``: each document's chunks that repeat an earlier one."""
     every = chunks(keyed, spread, smallest, largest)
-    shared = every.groupBy("h1", "h2").agg(F.count("*").alias("n"), F.min("did").alias("first_did")).where("n > 1").drop("n")
+    shared = materialize(every.groupBy("h1", "h2").agg(F.count("*").alias("n"), F.min("did").alias("first_did")).where("n > 1").drop("n"), "chunk-shared")
     repeats = every.join(shared.hint("shuffle_merge"), ["h1", "h2"]).where("did > first_did or place % 2 = 1")
     return repeats.groupBy("did", "rh").agg(F.collect_set("place").alias("places"))
 
