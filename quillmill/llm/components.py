@@ -10,25 +10,33 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillmill.llm.common import materialize
+from quillmill.llm.common import discard, materialize
 
 
 def _minimum(edges: DataFrame) -> DataFrame:
-    """Smallest of each node's neighbours and itself; ``edges`` holds (u, v)."""
-    return edges.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
+    """Smallest of each node's neighbours and itself; ``edges`` holds (u, v).
+
+    It is written out: a join of two plain exchanges has the partitions of a node with very many
+    neighbours split, a join with an aggregate has not.
+    """
+    return materialize(edges.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m")), "least")
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = _minimum(both)
-    return both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+    out = materialize(both.where("v > u").join(least.hint("shuffle_merge"), "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct(), "large-star")
+    discard(least)
+    return out
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
     least = _minimum(down)
-    moved = down.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
-    return moved.union(least.select("u", F.col("m").alias("v")).where("u <> v")).distinct()
+    moved = down.join(least.hint("shuffle_merge"), "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
+    out = materialize(moved.union(least.select("u", F.col("m").alias("v")).where("u <> v")).distinct(), "small-star")
+    discard(least)
+    return out
 
 
 def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
@@ -42,7 +50,10 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     current = materialize(current, "edges")
     mark = None
     for _ in range(max_rounds):
-        current = materialize(_small_star(_large_star(current)), "star")
+        larger = _large_star(current)
+        discard(current)
+        current = _small_star(larger)
+        discard(larger)
         now = tuple(current.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
         if now == mark:
             break
