@@ -119,7 +119,7 @@ class AnchorFinder:
 def anchor_rows(keyed: DataFrame, length: int, gram: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         finder = AnchorFinder(length, gram)
-        for batch in small_batches(batches, limit=4_000_000):
+        for batch in small_batches(batches, limit=2_000_000):
             number, first, count, keys, digests = finder.ranges(bytes_of(batch.column("text")))
             if not len(number):
                 continue
@@ -268,7 +268,7 @@ def window_digests(length: int):
 def removed_spans(keyed: DataFrame, length: int, gram: int, slab_bytes: int, slab_ranges: int) -> DataFrame:
     """``did, rh, spans``: byte spans (``begin``, ``stop``) to remove, not yet merged."""
     every = anchor_rows(keyed, length, gram)
-    shared = every.groupBy("kh").agg(F.count("*").alias("n")).where("n > 1").select("kh")
+    shared = materialize(every.groupBy("kh").agg(F.count("*").alias("n")).where("n > 1").select("kh"), "suffix-shared")
     hits = materialize(every.join(shared.hint("shuffle_merge"), "kh"), "suffix-anchors")
     classes = materialize(hits.groupBy("kh", "e1", "e2").agg(F.count("*").alias("weight"), F.min(F.struct("did", "rh", "place")).alias("one")), "suffix-classes")
     repeated = classes.where("weight > 1").select("kh", "e1", "e2")
