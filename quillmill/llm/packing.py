@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillmill.llm.common import BoundedCache, small_batches, texts_of
+from quillmill.llm.common import small_batches, texts_of
 from quillmill.llm.token_counts import load_tokenizer
 
 #: Fixed value: the word-end BPE pre-tokenizer's published pattern, for text that is lower-cased.
@@ -75,52 +75,62 @@ def first_fit_decreasing(sizes: np.ndarray, capacity: int) -> tuple[np.ndarray,
 class WordEncoder:
     """Ids of texts as little-endian uint32 bytes, by a cache of white-space words.
 
+    The cache has two generations, each of bounded size; what is looked up again moves to the newer.
+
     A pre-token's last id carries the end-of-word mark, so words that the cache lacks are encoded many
     at a time, joined by spaces, and told apart by counting those marks.  Texts with characters beyond the
     ranges of ``unusual``, where normalization could reach across pre-tokens, are encoded whole.
     """
 
-    def __init__(self, path: str, cache_limit: int = 500_000):
+    def __init__(self, path: str, cache_limit: int = 600_000):
         import regex
 
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
+
         self.tokenizer = load_tokenizer(path)
+        #: The same model for words that are one lower-case pre-token: nothing to normalize or split.
+        self.lean = Tokenizer.from_str(self.tokenizer.to_str())
+        self.lean.normalizer = normalizers.Sequence([])
+        self.lean.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         self.findall = regex.compile(WORD_PATTERN).findall
         self.unusual = regex.compile("[^\t\n\r\x20-\x7e\xa1-\xac\xae-\u012f\u0131-\u024f\u0400-\u052f\u2010-\u2027\u2030-\u205e]").search
         size = self.tokenizer.get_vocab_size()
         self.last = np.array([(self.tokenizer.id_to_token(i) or "").endswith("</w>") for i in range(size)])
-        self.words = BoundedCache(cache_limit)
+        self.limit = cache_limit
+        self.words: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def _raw(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def _pre_tokens(self, word: str) -> int:
-        """How many pre-tokens a word without white space has."""
-        if word.isalpha():
-            return 1
-        if word[-1] in ".," and word[:-1].isalpha():
-            return 2
-        return len(self.findall(word.lower()))
-
     def _learn(self, missed: set[str]) -> None:
-        fresh = []
+        """Encode words that the cache lacks: as (word, its pre-tokens spaced, their number)."""
+        plain, others = [], []
         for w in missed:
-            if "<|" in w:
+            if w in self.older:
+                self.words[w] = self.older[w]
+            elif w.isalpha():
+                plain.append((w, w, 1))
+            elif w[-1] in ".," and w[:-1].isalpha():
+                plain.append((w, f"{w[:-1]} {w[-1]}", 2))
+            elif "<|" in w:
                 self.words[w] = self._raw(w)
             else:
-                fresh.append(w)
-        for k in range(0, len(fresh), 2000):
-            some = fresh[k : k + 2000]
-            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, "<u4")
-            ends = np.flatnonzero(self.last[ids]) + 1
-            marks = np.cumsum([self._pre_tokens(w) for w in some])
-            if marks[-1] == len(ends) and ends[-1] == len(ids):
-                data, cuts = ids.tobytes(), (4 * ends[marks - 1]).tolist()
-                self.words.update(zip(some, [data[a:b] for a, b in zip([0, *cuts], cuts)]))
-            else:
-                self.words.update((w, self._raw(w)) for w in some)
+                others.append((w, w, len(self.findall(w.lower()))))
+        for fresh, tokenizer in ((plain, self.lean), (others, self.tokenizer)):
+            for k in range(0, len(fresh), 2000):
+                words, texts, sizes = zip(*fresh[k : k + 2000])
+                ids = np.array(tokenizer.encode_batch_fast([" ".join(texts).lower()], add_special_tokens=False)[0].ids, "<u4")
+                ends, marks = np.flatnonzero(self.last[ids]) + 1, np.cumsum(sizes)
+                if marks[-1] == len(ends) and ends[-1] == len(ids):
+                    data, cuts = ids.tobytes(), (4 * ends[marks - 1]).tolist()
+                    self.words.update(zip(words, [data[a:b] for a, b in zip([0, *cuts], cuts)]))
+                else:
+                    self.words.update((w, self._raw(w)) for w in words)
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
-        self.words.make_room()
+        if len(self.words) > self.limit:  # words in use move on to the new generation
+            self.words, self.older = {}, self.words
         get, missed, out = self.words.get, set(), []
         for t in texts:
             if self.unusual(t):
