@@ -2,11 +2,11 @@
 
 Training counts every (five-byte context, byte) of the training documents, and every token.  A byte
 is eight binary decisions; at each decision's node, the Krichevsky-Trofimov estimates of the
-contexts of 0 to 5 bytes are mixed by context-tree weighting.  The tree keeps the most frequent
-contexts of each depth, a documented bound; all other data below a context stays in it as one more
-child, so that no count is lost.  As training data are fixed when scoring begins, the weights are
-too: the driver turns the bounded tree into an automaton (context, byte) -> (log probability, next
-context), which workers run over many stretches of text at once.
+contexts of 0 to 5 bytes are mixed by context-tree weighting.  Every context that occurs is kept, so
+the model grows with the corpus.  As training data are fixed when scoring begins, the weights are
+too: contexts of three to five bytes are mixed where all that end in the same three bytes meet, those
+of up to two bytes (at most 65,536) on the driver.  Documents stay in batches of some 24 MB; the
+distinct grams of a batch are joined to their log probabilities and meet the batch's texts again.
 """
 
 from __future__ import annotations
@@ -21,14 +21,19 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillmill.llm.common import bytes_of, materialize, small_batches
+from quillmill.llm.common import bytes_of, discard, materialize, small_batches
 
 DEPTH = 5
 #: Marks the begin (as context) and the end (as symbol) of a text; no UTF-8 text holds it.
 EDGE = 0xFF
-#: Most contexts kept of each depth.
-KEPT = (1, 256, 2000, 5000, 7000, 9000)
+#: Bytes of the contexts that are mixed on the driver; longer ones are mixed by tasks.
+TOP = 2
+#: Grams that are mixed at once, more only where more end in the same bytes.
+CHUNK = 200_000
 FREQUENT = 1 << 18
+BITS = [f"q{j}" for j in range(8)]
+LAID = "batch long, row long, doc_id long, held_out boolean, text binary, key long, n long"
+MIXED = "key long, " + ", ".join(f"{q} float" for q in BITS) + ", node long, zeros double, ones double, inside double"
 
 
 def held_out(doc_id: Column) -> Column:
@@ -44,25 +49,82 @@ def laid_out(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return data, ends - sizes + DEPTH, ends - 1
 
 
-def gram_counts(data: np.ndarray, firsts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct (context, byte) keys of all symbols, and how often each occurs."""
+def gram_keys(data: np.ndarray, firsts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(context, byte) key that ends at each position from ``DEPTH`` on, and whether that is a symbol."""
     n = len(data) - DEPTH
     keys = np.zeros(n, np.int64)
     for k in range(DEPTH + 1):
         keys = (keys << 8) | data[k : k + n]
     symbol = np.ones(len(data), bool)
     symbol[(firsts[:, None] - 1 - np.arange(DEPTH)).ravel()] = False
-    return np.unique(keys[symbol[DEPTH:]], return_counts=True)
+    return keys, symbol[DEPTH:]
 
 
-def count_grams(training: DataFrame) -> DataFrame:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in small_batches(batches, limit=3_000_000):
-            data, firsts, _ = laid_out(bytes_of(batch.column("text")))
-            keys, counts = gram_counts(data, firsts)
-            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(counts)], ["key", "n"])
+def gram_counts(data: np.ndarray, firsts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct (context, byte) keys of all symbols, and how often each occurs."""
+    keys, symbol = gram_keys(data, firsts)
+    return np.unique(keys[symbol], return_counts=True)
+
 
-    return training.select("text").mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+def gathered(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.Table]:
+    """Arrow batches joined until they hold ``limit`` bytes of text, so that short texts share grams."""
+    held: list[pa.RecordBatch] = []
+    for batch in small_batches(batches, limit=limit):
+        held.append(batch)
+        if sum(b.column("text").nbytes for b in held) >= limit:
+            yield pa.Table.from_batches(held)
+            held = []
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def add_up(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """One list of distinct keys and their counts from several sorted ones."""
+    keys, counts = (np.concatenate(x) for x in zip(*parts))
+    order = np.argsort(keys, kind="stable")  # merges sorted runs
+    keys = keys[order]
+    starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    return keys[starts], np.add.reduceat(counts[order], starts)
+
+
+def lay_out(source: DataFrame, limit: int = 24_000_000, step: int = 3_000_000) -> DataFrame:
+    """Documents in batches, each with its distinct grams and how often they occur in training rows.
+
+    Rows hold either ``batch, row, doc_id, held_out, text`` (lower-cased) or ``batch, key, n``.  The
+    larger a batch, the fewer grams there are to join.
+    """
+
+    def run(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["batch", "row", "doc_id", "held_out", "text", "key", "n"]
+        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.binary(), pa.int64(), pa.int64()]
+
+        def rows(size: int, columns: list) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.nulls(size, k) if c is None else pa.array(c, k) for c, k in zip(columns, kinds)], names)
+
+        def grams(batch: int, parts: list) -> pa.RecordBatch:
+            keys, counts = add_up(parts)
+            return rows(len(keys), [np.full(len(keys), batch), None, None, None, None, keys, counts])
+
+        row = batch = TaskContext.get().partitionId() << 33
+        parts, size = [], 0
+        for table in gathered(tables, step):
+            texts, held = [t.lower() for t in bytes_of(table.column("text"))], table.column("held_out").to_pylist()
+            yield rows(len(texts), [np.full(len(texts), batch), np.arange(row, row + len(texts)), table.column("doc_id").to_pylist(), held, texts, None, None])
+            row += len(texts)
+            for side in (False, True):
+                some = [t for t, h in zip(texts, held) if h == side]
+                if some:
+                    data, firsts, _ = laid_out(some)
+                    keys, n = gram_counts(data, firsts)
+                    parts.append((keys, n * 0 if side else n))
+            size += sum(map(len, texts))
+            if size >= limit:
+                yield grams(batch, parts)
+                batch, parts, size = row, [], 0
+        if parts:
+            yield grams(batch, parts)
+
+    return source.mapInArrow(run, LAID)
 
 
 def count_tokens(training: DataFrame) -> DataFrame:
@@ -141,7 +203,8 @@ class Automaton:
 
 
 class ContextTree:
-    """Bounded context tree: for each depth the contexts (as integers, newest byte lowest) with counts."""
+    """Context tree in memory, the tests' yardstick: for each depth the contexts (as integers, newest
+    byte lowest) with counts.  Scoring mixes the same tree by parts, see :func:`mix_long`."""
 
     def __init__(self, contexts: list[np.ndarray], counts: list[np.ndarray]):
         self.contexts, self.counts = contexts, counts
@@ -213,26 +276,152 @@ class ContextTree:
         return following, state
 
 
-def build_tree(grams: DataFrame, kept: tuple[int, ...] = KEPT) -> ContextTree:
-    """The most frequent contexts of each depth, closed under dropping the oldest or newest byte."""
-    contexts, counts = [np.zeros(1, np.int64)], []
-    for d, bound in enumerate(kept):
-        context = F.shiftright("key", 8).bitwiseAND(F.lit((1 << 8 * d) - 1)).alias("context")
-        by_byte = grams.groupBy(context, F.col("key").bitwiseAND(F.lit(255)).alias("byte")).agg(F.sum("n").alias("n"))
-        if d:
-            sums = grams.groupBy(context).agg(F.sum("n").alias("n"))
-            found = np.sort(most_frequent(sums, "n", bound).select("context").toArrow().column(0).to_numpy())
-            shorter = contexts[d - 1]
-            found = found[np.isin(found & ((1 << 8 * (d - 1)) - 1), shorter) & np.isin(found >> 8, shorter)]
-            contexts.append(found)
-            wanted = grams.sparkSession.createDataFrame([(int(x),) for x in found], "context long")
-            by_byte = by_byte.join(F.broadcast(wanted), "context")
-        table = np.zeros((len(contexts[d]), 256))
-        rows = by_byte.toArrow()
-        if rows.num_rows:
-            table[np.searchsorted(contexts[d], rows.column("context").to_numpy()), rows.column("byte").to_numpy()] = rows.column("n").to_numpy()
-        counts.append(table)
-    return ContextTree(contexts, counts)
+def posterior(zeros: np.ndarray, ones: np.ndarray, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Weight of the own estimate against the longer contexts', and log of the weighted probability."""
+    own = log_kt(zeros, ones)
+    return 1 / (1 + np.exp(np.clip(inside - own, -700, 700))), np.logaddexp(own, inside) - np.log(2)
+
+
+def mix_long(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, tuple[np.ndarray, ...]]:
+    """Mix the contexts longer than ``TOP`` of distinct grams; all grams of such a context are given.
+
+    Returns the probability of each of a gram's eight decisions (n x 8), and ``node, zeros, ones,
+    inside`` of the contexts of ``TOP`` bytes, whose sums over all calls go to ``ShortContexts``.  A
+    gram that training lacks has n = 0 and alters nothing: the untrained estimate is one half.
+    """
+    byte, chances, parts = keys & 255, np.empty((len(keys), 8)), []
+    for j in range(8):
+        node, bit = (1 << j) | (byte >> (8 - j)), (byte >> (7 - j)) & 1
+        lower = place = q = None
+        for d in range(DEPTH, TOP - 1, -1):
+            ids, at = np.unique((((keys >> 8) & ((1 << 8 * d) - 1)) << 8) | node, return_inverse=True)
+            zeros, ones = np.bincount(at, n * (bit == 0), len(ids)), np.bincount(at, n * bit, len(ids))
+            inside = None
+            if d < DEPTH:
+                parent = np.empty(len(lower), np.int64)
+                parent[place] = at
+                inside = np.bincount(parent, lower, len(ids))
+            if d == TOP:
+                parts.append((ids, zeros, ones, inside))
+                break
+            p = (np.where(bit == 1, ones[at], zeros[at]) + 0.5) / ((zeros + ones)[at] + 1)
+            if d == DEPTH:
+                lower, q = log_kt(zeros, ones), p
+            else:
+                weight, lower = posterior(zeros, ones, inside)
+                q = weight[at] * p + (1 - weight[at]) * q
+            place = at
+        chances[:, j] = q
+    return chances, tuple(np.concatenate(x) for x in zip(*parts))
+
+
+def mix_long_contexts(grams: DataFrame) -> DataFrame:
+    """``mix_long`` over the sums of ``key, n`` rows, dealt by the newest ``TOP + 1`` bytes of the context.
+
+    Rows hold either a ``key`` and its chances or a ``node`` and its sums.
+    """
+
+    def solve(table: pa.Table) -> Iterator[pa.RecordBatch]:
+        keys = table.column("key").to_numpy()
+        chances, sums = mix_long(keys, table.column("n").to_numpy())
+        names = ["key", *BITS, "node", "zeros", "ones", "inside"]
+        kinds = [pa.int64(), *[pa.float32()] * 8, pa.int64(), *[pa.float64()] * 3]
+        for columns, size in (([keys, *chances.astype(np.float32).T, *[None] * 4], len(keys)), ([None] * 9 + list(sums), len(sums[0]))):
+            yield pa.RecordBatch.from_arrays([pa.nulls(size, k) if c is None else pa.array(np.ascontiguousarray(c), k) for c, k in zip(columns, kinds)], names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size, limit = [], 0, CHUNK
+        for batch in batches:
+            if batch.num_rows:
+                held.append(batch)
+                size += batch.num_rows
+            if size >= limit:
+                table = pa.Table.from_batches(held).combine_chunks()
+                near = table.column("near").to_numpy()
+                cut = int(np.searchsorted(near, near[-1]))
+                if cut:
+                    yield from solve(table.slice(0, cut))
+                held, size = table.slice(cut).to_batches(), size - cut
+                limit = max(CHUNK, 2 * size)
+        if held:
+            yield from solve(pa.Table.from_batches(held))
+
+    near = F.shiftright("key", 8).bitwiseAND(F.lit((1 << 8 * (TOP + 1)) - 1))
+    dealt = grams.select("key", "n", near.alias("near")).repartition("near")
+    return dealt.groupBy("near", "key").agg(F.sum("n").alias("n")).sortWithinPartitions("near").mapInArrow(run, MIXED)
+
+
+class ShortContexts:
+    """The contexts of up to ``TOP`` bytes: at each node, the probability of a decision is ``own[bit]``
+    plus ``rest`` times what the longer contexts give."""
+
+    def __init__(self, node: np.ndarray, zeros: np.ndarray, ones: np.ndarray, inside: np.ndarray):
+        order = np.argsort(node)
+        self.node, zeros, ones, inside = node[order], zeros[order], ones[order], inside[order]
+        self.own, self.rest = np.zeros((2, len(node))), np.ones(len(node))
+        ids, at = self.node, np.arange(len(node))
+        for d in range(TOP, -1, -1):
+            weight, lower = posterior(zeros, ones, inside)
+            for bit, count in enumerate((zeros, ones)):
+                p = (count + 0.5) / (zeros + ones + 1)
+                self.own[bit] = weight[at] * p[at] + (1 - weight[at]) * self.own[bit]
+            self.rest *= 1 - weight[at]
+            if d:
+                ids, up = np.unique((((ids >> 8) & ((1 << 8 * (d - 1)) - 1)) << 8) | (ids & 255), return_inverse=True)
+                zeros, ones, inside = (np.bincount(up, x, len(ids)) for x in (zeros, ones, lower))
+                at = up[at]
+
+    def log_p(self, keys: np.ndarray, chances: list[np.ndarray]) -> np.ndarray:
+        """Log10 probability of each gram's byte after its context."""
+        byte, context = keys & 255, ((keys >> 8) & ((1 << 8 * TOP) - 1)) << 8
+        out = np.zeros(len(keys))
+        for j, chance in enumerate(chances):
+            at = np.searchsorted(self.node, context | (1 << j) | (byte >> (8 - j)))
+            out += np.log10(self.own[(byte >> (7 - j)) & 1, at] + self.rest[at] * chance)
+        return out
+
+
+def gram_logs(grams: DataFrame) -> DataFrame:
+    """``key, log_p`` of each distinct gram of ``key, n`` rows."""
+    mixed = materialize(mix_long_contexts(grams), "mixed")
+    sums = mixed.where(F.col("node").isNotNull()).groupBy("node").agg(*[F.sum(c).alias(c) for c in ("zeros", "ones", "inside")]).toArrow()
+    shared = grams.sparkSession.sparkContext.broadcast(ShortContexts(*(sums.column(c).to_numpy() for c in ("node", "zeros", "ones", "inside"))))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = batch.column("key").to_numpy()
+            logs = shared.value.log_p(keys, [batch.column(q).to_numpy() for q in BITS])
+            yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(logs, pa.float64())], ["key", "log_p"])
+
+    return mixed.where(F.col("key").isNotNull()).select("key", *BITS).mapInArrow(run, "key long, log_p double")
+
+
+def gram_scores(texts: list[bytes], keys: np.ndarray, logs: np.ndarray, step: int = 3_000_000) -> np.ndarray:
+    """Log10 probability of each text and its end, from those of all grams that occur."""
+    order = np.argsort(keys)
+    keys, logs = keys[order], logs[order]
+    part = np.cumsum([len(t) for t in texts]) // step
+    out = np.empty(len(texts))
+    for which in np.split(np.arange(len(texts)), np.flatnonzero(np.diff(part)) + 1):
+        data, firsts, ends = laid_out(texts[which[0] : which[-1] + 1])
+        found, symbol = gram_keys(data, firsts)
+        steps = np.zeros(len(data))
+        steps[DEPTH:][symbol] = logs[np.searchsorted(keys, found[symbol])]
+        sums = np.concatenate([[0.0], np.cumsum(steps)])
+        out[which] = sums[ends + 1] - sums[firsts]
+    return out
+
+
+class FrequentWords:
+    """Log10 of the smoothed count of frequent tokens; a worker builds the table once."""
+
+    def __init__(self, words: bytes, counts: np.ndarray):
+        self.words, self.counts, self.built = words, counts, None
+
+    def logs(self) -> dict[bytes, float]:
+        if self.built is None:
+            self.built = dict(zip(self.words.split(b" "), np.log10(self.counts + 0.5).tolist())) if len(self.counts) else {}
+        return self.built
 
 
 def run_automaton(automaton: Automaton, texts: list[bytes], lane: int = 512) -> np.ndarray:
@@ -266,7 +455,8 @@ def score_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     training = source.where(~F.col("held_out"))
     spark = docs.sparkSession
     vocabulary = materialize(count_tokens(training), "vocabulary")
-    grams = materialize(count_grams(training), "grams")
+    laid = materialize(lay_out(source), "laid")
+    grams = laid.where(F.col("key").isNotNull()).select("batch", "key", "n")
     trained = training.count()
     tokens, distinct = vocabulary.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     total, distinct = tokens + trained, distinct + (trained > 0)
@@ -277,32 +467,30 @@ def score_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     least = int(counts.min()) if len(counts) else None
     words = b" ".join(frequent.column("token").to_pylist())
     del frequent
-    shared = spark.sparkContext.broadcast((words, counts, build_tree(grams).automaton()))
+    shared = spark.sparkContext.broadcast(FrequentWords(words, counts))
     kind = "row long, doc_id long, held_out boolean, n_tokens long, n_known long, part double, score double, n_bytes long, rare array<struct<token: binary, n: int>>"
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, counts, automaton = shared.value
-        logs = dict(zip(words.split(b" "), np.log10(counts + 0.5).tolist())) if len(counts) else {}
-        row = TaskContext.get().partitionId() << 33
+    def run(part: pa.Table, found: pa.Table) -> pa.Table:
+        logs = shared.value.logs()
         rare_type = pa.list_(pa.struct([("token", pa.binary()), ("n", pa.int32())]))
-        for batch in small_batches(batches, limit=2_000_000):
-            texts = [t.lower() for t in bytes_of(batch.column("text"))]
-            scores = run_automaton(automaton, texts)
-            n_tokens, n_known, parts, rare = [], [], [], []
-            for t in texts:
-                split = t.split()
-                found = [logs[w] for w in split if w in logs]
-                missed = Counter(w for w in split if w not in logs) if len(found) < len(split) else {}
-                n_tokens.append(len(split) + 1)
-                n_known.append(len(found) + (trained > 0))
-                parts.append(sum(found) + log_end)
-                rare.append([{"token": w, "n": k} for w, k in missed.items()])
-            rows = np.arange(row, row + len(texts))
-            row += len(texts)
-            columns = [pa.array(rows), batch.column("doc_id"), batch.column("held_out"), pa.array(n_tokens, pa.int64()), pa.array(n_known, pa.int64()), pa.array(parts, pa.float64()), pa.array(scores), pa.array([len(t) for t in texts], pa.int64()), pa.array(rare, rare_type)]
-            yield pa.RecordBatch.from_arrays(columns, ["row", "doc_id", "held_out", "n_tokens", "n_known", "part", "score", "n_bytes", "rare"])
-
-    scored = materialize(source.mapInArrow(run, kind), "scored")
+        texts = part.column("text").to_pylist()
+        scores = gram_scores(texts, found.column("key").to_numpy(), found.column("log_p").to_numpy())
+        n_tokens, n_known, parts, rare = [], [], [], []
+        for t in texts:
+            split = t.split()
+            known = [logs[w] for w in split if w in logs]
+            missed = Counter(w for w in split if w not in logs) if len(known) < len(split) else {}
+            n_tokens.append(len(split) + 1)
+            n_known.append(len(known) + (trained > 0))
+            parts.append(sum(known) + log_end)
+            rare.append([{"token": w, "n": k} for w, k in missed.items()])
+        columns = [part.column("row"), part.column("doc_id"), part.column("held_out"), pa.array(n_tokens, pa.int64()), pa.array(n_known, pa.int64()), pa.array(parts, pa.float64()), pa.array(scores), pa.array([len(t) for t in texts], pa.int64()), pa.array(rare, rare_type)]
+        return pa.Table.from_arrays(columns, ["row", "doc_id", "held_out", "n_tokens", "n_known", "part", "score", "n_bytes", "rare"])
+
+    found = grams.select("batch", "key").join(gram_logs(grams.select("key", "n")).hint("shuffle_merge"), "key").select(F.col("batch").alias("of"), "key", "log_p")
+    texts = laid.where(F.col("text").isNotNull()).select("batch", "row", "doc_id", "held_out", "text")
+    scored = materialize(texts.groupBy("batch").cogroup(found.groupBy("of")).applyInArrow(run, kind), "scored")
+    discard(laid)
     rare = scored.select("row", F.explode("rare").alias("x")).select("row", "x.token", "x.n")
     known = vocabulary if least is None else vocabulary.where((F.col("c") <= least) | (F.octet_length("token") > 40))
     met = rare.join(known.hint("shuffle_merge"), "token", "left")

@@ -212,3 +212,31 @@ def test_context_tree_is_a_distribution_and_equals_direct_weighting():
             assert abs(want / math.log(10) - machine.log_p[state, byte]) < 1e-3
     whole = lm.run_automaton(machine, texts, lane=64)
     assert np.allclose(whole, lm.run_automaton(machine, texts, lane=7), atol=1e-3)
+
+
+def test_lm_score_uses_every_context(spark):
+    """More contexts than any fixed bound: the scores equal the tree of all contexts, in memory."""
+    import random
+
+    from quillmill.llm import lm_score as lm
+
+    rng = random.Random(8)
+    docs = [(k, "".join(rng.choice("abcdefghijKLMNOP ") for _ in range(rng.randint(0, 400)))) for k in range(120)] + [(500, None), (501, "é unseen 漢字")]
+    got = lm.score_documents(frame(spark, docs)).collect()
+    training = [(t or "").encode().lower() for k, t in docs if zlib.crc32(str(k).encode()) % 5 != 1]
+    data, firsts, _ = lm.laid_out(training)
+    keys, n = lm.gram_counts(data, firsts)
+    contexts, tables = [], []
+    for d in range(lm.DEPTH + 1):
+        ctx = (keys >> 8) & ((1 << 8 * d) - 1)
+        found, at = np.unique(ctx, return_inverse=True)
+        table = np.zeros((len(found), 256))
+        np.add.at(table, (at, keys & 255), n)
+        contexts.append(found)
+        tables.append(table)
+    assert len(contexts[-1]) > 12_000 and sum(map(len, contexts)) < 1 << 16
+    want = lm.run_automaton(lm.ContextTree(contexts, tables).automaton(), [(t or "").encode().lower() for _, t in docs])
+    by_id = {r.doc_id: r.score for r in got}
+    assert len(got) == len(docs)
+    for (k, t), w in zip(docs, want):
+        assert abs(by_id[k] - w) < 1e-3 + 1e-5 * abs(w), (k, by_id[k], w)
