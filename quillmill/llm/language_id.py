@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillmill.llm.common import hashed_sample, mix64, small_batches, texts_of
+from quillmill.llm.common import materialize, mix64, small_batches, texts_of
 
 SCHEMA = "doc_id long, held_out boolean, lang_pred string, score double, accepted boolean"
 UNDETERMINED = "und"
@@ -142,17 +142,27 @@ def train(texts: list[str], labels: list[str], buckets: int = 8192, dimensions:
 
 
 def labelled_sample(docs: DataFrame, rows: int, row_bytes: int) -> tuple[list[str], list[str]]:
-    """About ``rows`` documents (twice as many at most) by hashed id; of them, the labelled training
-    rows of at most ``row_bytes`` bytes."""
+    """About ``rows`` labelled training rows (twice as many at most) of at most ``row_bytes`` bytes.
+
+    They are chosen by hash below a threshold that follows from each language's count of such rows: in
+    proportion to it, but as far as there are rows at least half of an equal share.
+    """
     usable = ~is_held_out() & F.col("lang").isNotNull() & (F.octet_length("text") <= row_bytes) & (F.length("text") > 0)
-    slim = docs.select("doc_id", "lang", F.when(usable, F.col("text")).alias("text"))
-    picked = [r for r in hashed_sample(slim, "doc_id", rows).select("text", "lang").collect() if r.text]
+    slim = docs.where(usable).select("doc_id", "lang", "text")
+    counts = materialize(slim.groupBy("lang").agg(F.count("*").alias("n")), "languages")
+    languages, total = counts.agg(F.count("*"), F.sum("n")).first()
+    if not languages:
+        return [], []
+    wanted = F.greatest(F.col("n") * (rows / total), F.lit(float(rows // (2 * languages))))
+    place = F.xxhash64(F.lit("sample"), "doc_id", "text").cast("double") / 2.0**64 + 0.5
+    chosen = slim.join(counts.select("lang", (wanted / F.col("n")).alias("share")), "lang").where(place <= F.col("share"))
+    picked = chosen.select("text", "lang").limit(2 * rows).collect()
     picked.sort(key=lambda r: (zlib.crc32(r.text.encode()), r.text))
     return [r.text for r in picked], [r.lang for r in picked]
 
 
 def fit(docs: DataFrame, sample_rows: int = 2500, sample_bytes: int = 32_768) -> LanguageModel:
-    """Fit on a bounded sample: ``sample_rows`` rows, twice as many at most, of ``sample_bytes`` each."""
+    """Fit on a bounded sample: ``sample_rows`` labelled rows, twice as many at most, of ``sample_bytes`` each."""
     return train(*labelled_sample(docs.select("doc_id", "text", "lang"), sample_rows, sample_bytes))
 
 

@@ -132,6 +132,23 @@ def test_language_id_learns_and_rejects(spark):
     assert {r.lang_pred for r in predict(docs, fit(empty)).collect()} == {"und"}
 
 
+def test_language_id_sample_is_drawn_from_labelled_rows(spark):
+    from quillmill.llm.language_id import labelled_sample
+
+    def training(ids):
+        return [k for k in ids if zlib.crc32(str(k).encode()) % 5]
+
+    sparse = [(k, f"text {k}", ("aa", "bb")[k % 2] if k < 60 else None) for k in range(6000)]
+    docs = spark.createDataFrame(sparse, "doc_id long, text string, lang string").repartition(3)
+    texts, labels = labelled_sample(docs, 200, 1000)
+    assert sorted(texts) == sorted(f"text {k}" for k in training(range(60))) and set(labels) == {"aa", "bb"}
+    uneven = [(k, f"text {k}", "rare" if k < 20 else "common") for k in range(6000)]
+    docs = spark.createDataFrame(uneven, "doc_id long, text string, lang string").repartition(3)
+    texts, labels = labelled_sample(docs, 200, 1000)
+    assert {t for t, x in zip(texts, labels) if x == "rare"} == {f"text {k}" for k in training(range(20))}
+    assert 100 < labels.count("common") and len(texts) <= 400
+
+
 def test_lm_base_score_and_counts_equal_brute_force(spark):
     from quillmill.llm.lm_score import score_documents
 
