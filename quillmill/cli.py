@@ -11,20 +11,68 @@ from pyspark.sql import functions as F
 
 RECORD = "id string, domain string, split string, messages array<struct<role: string, content: string>>"
 SPLITS = ("train", "validation", "test")
+ABSTRACT = "doc_id string, title string, abstract string, keywords array<string>, category string, category_eng string, discipline string, discipline_eng string"
 
 
 def prepare(spark: SparkSession, a: argparse.Namespace) -> int:
-    """Training examples and chat records of parallel files, with their split."""
+    """Training, validation and test examples with their chat records and profiles.
+
+    Parallel files give the general part: those after the command the training pairs, ``--held-back``
+    ones the other splits.  ``--native`` and ``--english`` are the two sides of the abstracts.
+    """
+    from quillmill.functions.text import listed_characters
+    from quillmill.operators.chat import build_records
     from quillmill.operators.rows import with_ordinal
-    from quillmill.operators.summaries import length_stats
-    from quillmill.plans.stages import general_examples, training_set
-    from quillmill.sources.files import read_parallel, shard_paths, write_jsonl
-
-    raw = with_ordinal(read_parallel(spark, *shard_paths(a.inputs, a.shards)), ["file", "row_index"])
-    examples = general_examples(raw, "ordinal", "train", a.limit).drop("at")
-    write_jsonl(examples, f"{a.out}/intermediate", by=["split"])
-    write_jsonl(training_set([examples]), f"{a.out}/sft", by=["split"])
-    write_jsonl(length_stats(examples, F.col("source"), ["domain", "split"]), f"{a.out}/profile")
+    from quillmill.operators.summaries import split_profile
+    from quillmill.plans.stages import abstract_examples, evaluation_examples, general_examples, split_examples
+    from quillmill.sources.files import read_jsonl_placed, read_parallel, shard_paths, write_jsonl
+
+    characters = listed_characters(a.traditional) if a.traditional else None
+
+    def numbered(paths: list[str]) -> DataFrame:
+        return with_ordinal(read_parallel(spark, *paths), ["file", "row_index"])
+
+    parts: dict[str, list[DataFrame]] = {s: [] for s in SPLITS}
+    parts["train"].append(general_examples(numbered(shard_paths(a.inputs, a.shards)), "ordinal", "train", a.limit, characters=characters))
+    if a.held_back:
+        held = numbered(sorted(a.held_back))
+        for split, size in (("validation", a.validation_size), ("test", a.test_size)):
+            parts[split].append(evaluation_examples(held, "ordinal", {split: size}, characters=characters))
+    if a.native:
+        sides = [read_jsonl_placed(spark, path, ABSTRACT) for path in (a.native, a.english)]
+        for split, size in zip(SPLITS, (a.abstracts, a.validation_size, a.test_size)):
+            parts[split].append(abstract_examples(*sides, split, size, characters=characters))
+    counts = {}
+    for split in SPLITS:
+        if parts[split]:
+            examples = split_examples(parts[split])
+            write_jsonl(examples.orderBy("part", "at").drop("part", "at"), f"{a.out}/intermediate/{split}")
+            write_jsonl(build_records(examples.orderBy("part", "at")), f"{a.out}/sft/{split}")
+            profile = split_profile(examples, split, ["part", "at"])
+            write_jsonl(profile, f"{a.out}/profile/{split}")
+            counts[split] = profile.first().num_examples
+    print(json.dumps(counts))
+    return 0
+
+
+def collect(spark: SparkSession, a: argparse.Namespace) -> int:
+    """Accepted papers from a paged source of works, up to a target; runs go on where the last one ended."""
+    import importlib
+
+    from quillmill.plans.collection import accepted_works
+    from quillmill.plans.registry import WORK
+    from quillmill.sources.requests import works_page
+    from quillmill.streaming.resume import collect_pages
+
+    module, _, name = a.transport.partition(":")
+    send = getattr(importlib.import_module(module), name)
+
+    def accept(page: DataFrame, seen: DataFrame) -> DataFrame:
+        works = page.withColumn("at", F.monotonically_increasing_id()).select("at", F.from_json("raw", WORK).alias("w")).select("at", "w.*")
+        return accepted_works(works, seen, "at", a.least_citations).drop("at")
+
+    state = collect_pages(spark, lambda cursor: works_page(send, cursor, a.page_size, a.least_citations, a.mail), "raw string", accept, a.out, "arxiv_base_id", a.target, a.most)
+    print(json.dumps(state))
     return 0
 
 
@@ -87,7 +135,19 @@ def main(argv: list[str] | None = None) -> int:
     one.add_argument("--out", required=True)
     one.add_argument("--limit", type=int, default=1000)
     one.add_argument("--shards", type=int, default=1)
+    one.add_argument("--held-back", nargs="*", default=[])
+    for name in ("native", "english", "traditional"):
+        one.add_argument(f"--{name}")
+    for name in ("abstracts", "validation-size", "test-size"):
+        one.add_argument(f"--{name}", type=int, default=1000)
     one.set_defaults(run=prepare)
+    one = commands.add_parser("collect", help=collect.__doc__)
+    one.add_argument("--transport", required=True, help="module:function that sends a request")
+    one.add_argument("--out", required=True)
+    one.add_argument("--mail")
+    for name, value in (("target", 100), ("most", 10_000), ("page-size", 100), ("least-citations", 21)):
+        one.add_argument(f"--{name}", type=int, default=value)
+    one.set_defaults(run=collect)
     one = commands.add_parser("validate", help=validate.__doc__)
     one.add_argument("folder")
     one.add_argument("--most", type=int, default=1000)

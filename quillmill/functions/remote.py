@@ -26,11 +26,21 @@ def strip(text: Column) -> Column:
     return F.regexp_replace(text, f"^{SPACES}+|{SPACES}+$", "")
 
 
+#: Schema of a response: ``content`` is read as its JSON text, since it is a list of parts or plain text.
+RESPONSE = "output_text string, output array<struct<content: string>>"
+
+
 def response_text(response: Column) -> Column:
-    """``output_text`` where given, or the texts of ``output[].content[]`` joined by newlines.
+    """``output_text`` where given, or the texts of ``output[].content`` joined by newlines.
 
-    Null means that there is no text, which callers treat as a retryable error.
+    A content is a list of parts with a ``text``, or the text itself.  Null means that there is no
+    text, which callers treat as a retryable error.
     """
-    parts = F.flatten(F.transform(F.coalesce(response["output"], F.array()), lambda o: F.transform(F.coalesce(o["content"], F.array()), lambda c: strip(c["text"]))))
+
+    def texts(content: Column) -> Column:
+        parts = F.from_json(F.when(content.startswith("["), content), "array<struct<text: string>>")
+        return F.coalesce(F.transform(parts, lambda c: strip(c["text"])), F.array(strip(content)))
+
+    parts = F.flatten(F.transform(F.coalesce(response["output"], F.array()), lambda o: texts(o["content"])))
     joined = F.array_join(F.filter(parts, lambda t: F.coalesce(t, F.lit("")) != ""), "\n")
     return F.coalesce(strip(response["output_text"]), F.nullif(joined, F.lit("")))

@@ -35,7 +35,7 @@ FLOAT_MENTION = r"\b(?:Table|Figure|Fig\.)\s+\d+(?:\.\d+)*:?"
 MATH_SPAN = r"(\$\$.*?\$\$|\$[^$\n]+?\$)"
 LATEX_ESCAPES = {"\\": r"\textbackslash{}", "&": r"\&", "%": r"\%", "$": r"\$", "#": r"\#", "_": r"\_", "{": r"\{", "}": r"\}", "~": r"\textasciitilde{}", "^": r"\textasciicircum{}"}
 #: Characters beside the rule of :func:`traditional_characters`: ones it lacks, ones it must not hold.
-TRADITIONAL_TOO = "兹壹夥後徵於鋈阪"
+TRADITIONAL_TOO = "兹壹夥後徵於鋈阪裏説綫啓僞衆麽鈎閲鋭録緑産顔鷄"
 NOT_TRADITIONAL = "國並"
 
 
@@ -68,7 +68,8 @@ def other_script(text: Column) -> Column:
 def traditional_characters() -> str:
     """Han characters of the Taiwanese standard set that the mainland's simplified set lacks.
 
-    A rule instead of a table; callers with a list of their own pass it to the filters.
+    A rule instead of a table; callers with a list of their own pass it to the filters, see
+    :func:`listed_characters`.
     """
 
     def held(ch: str, codec: str) -> bool:
@@ -82,6 +83,12 @@ def traditional_characters() -> str:
     return "".join(sorted(set(found) - set(NOT_TRADITIONAL) | set(TRADITIONAL_TOO)))
 
 
+def listed_characters(path: str) -> str:
+    """The distinct characters of a UTF-8 file, white space aside, in its order: a list for the filters."""
+    with open(path, encoding="utf-8") as file:
+        return "".join(dict.fromkeys("".join(file.read().split())))
+
+
 def traditional(text: Column, characters: str | None = None) -> Column:
     """Whether a traditional-only character occurs; ``translate`` is far cheaper than a regex class."""
     bare = F.translate(text, characters or traditional_characters(), "")

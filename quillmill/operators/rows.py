@@ -7,18 +7,24 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quillmill.sources.durable import materialize
+
 
 def with_ordinal(df: DataFrame, order: list[str], name: str = "ordinal", start: int = 0) -> DataFrame:
     """Running number of each row in the order of ``order``, without one task seeing all rows.
 
-    Rows are range-partitioned and numbered within their partition; the partitions' counts, as many
-    numbers as there are partitions, give each one's offset.
+    Rows are range-partitioned, sorted within their partition and written once with their place; both
+    what counts a partition's rows and what numbers them read that table, so they cannot differ in how
+    rows were dealt.  The partitions' counts, as many numbers as there are partitions, give each one's
+    offset.  Rows that are equal in ``order`` get successive numbers in any order.
     """
-    placed = df.repartitionByRange(*order).withColumn("_p", F.spark_partition_id())
-    local = placed.withColumn("_k", F.row_number().over(Window.partitionBy("_p").orderBy(*order)))
-    sizes = local.groupBy("_p").agg(F.count("*").alias("_n"))
-    offsets = sizes.withColumn("_before", F.coalesce(F.sum("_n").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_n")
-    return local.join(offsets, "_p").withColumn(name, F.col("_before") + F.col("_k") - 1 + start).drop("_p", "_k", "_before")
+    placed = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_placed", F.monotonically_increasing_id())
+    written = materialize(placed, "ordinal")
+    part, within = F.shiftright("_placed", 33), F.col("_placed").bitwiseAND((1 << 33) - 1)
+    sizes = written.groupBy(part.alias("_part")).agg(F.count("*").alias("_size"))
+    before = F.coalesce(F.sum("_size").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    offsets = sizes.select("_part", before.alias("_before"))
+    return written.withColumn("_part", part).join(F.broadcast(offsets), "_part").withColumn(name, F.col("_before") + within + start).select(*df.columns, name)
 
 
 def keep_first(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
@@ -36,7 +42,7 @@ def keep_first(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
 
 
 def keep_last(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """The last row of each key, found like :func:`keep_first`."""
+    """The last row of each key, found like :func:`keep_first`; ties should be broken by the last column."""
     rest = [c for c in df.columns if c not in keys]
     last = df.groupBy(*keys).agg(F.max_by(F.struct(*[F.col(c) for c in rest]), F.struct(*[F.col(c) for c in order])).alias("_row"))
     return last.select(*[F.col(c) if c in keys else F.col(f"_row.{c}").alias(c) for c in df.columns])
@@ -77,7 +83,25 @@ def checked_join(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     return joined.where(sound).select(F.col("_left").alias("left"), F.col("_right").alias("right"))
 
 
+def positional_pairs(left: DataFrame, right: DataFrame, position: str, key: str) -> DataFrame:
+    """``position, left, right``: the rows at the same place of two tables, whose ``key`` must agree.
+
+    Fails where one side is longer, or where the keys at a place differ.
+    """
+    a = left.select(F.col(position), F.struct(*left.columns).alias("left"))
+    b = right.select(F.col(position), F.struct(*right.columns).alias("right"))
+    paired = a.join(b, position, "full")
+    same = F.col("left").isNotNull() & F.col("right").isNotNull() & F.col("left")[key].eqNullSafe(F.col("right")[key])
+    fault = F.raise_error(F.concat(F.lit("ids do not match at place "), F.col(position).cast("string")))
+    return paired.where(F.when(same, F.lit(True)).otherwise(fault.cast("boolean"))).select(position, "left", "right")
+
+
 def best_match(pairs: DataFrame, key: str, exact: Column, rank: Column, position: str) -> DataFrame:
-    """For each key the exact match with the highest rank, else the highest rank; first one at ties."""
-    order = [exact.cast("int").desc(), rank.desc(), F.col(position).asc()]
-    return pairs.withColumn("_at", F.row_number().over(Window.partitionBy(key).orderBy(*order))).where("_at = 1").drop("_at")
+    """For each key the exact match with the highest rank, else the highest rank; first one at ties.
+
+    An aggregate with map-side combining, like :func:`keep_first`.
+    """
+    order = F.struct((-F.coalesce(exact, F.lit(False)).cast("int")).alias("e"), rank.isNull().alias("n"), (-rank).alias("r"), F.col(position).alias("p"))
+    rest = [c for c in pairs.columns if c != key]
+    best = pairs.groupBy(key).agg(F.min_by(F.struct(*rest), order).alias("_row"))
+    return best.select(*[F.col(c) if c == key else F.col(f"_row.{c}").alias(c) for c in pairs.columns])

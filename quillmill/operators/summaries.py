@@ -33,9 +33,31 @@ def rank_stats(df: DataFrame, value: str, by: list[str]) -> DataFrame:
     return marked.groupBy(*by).agg(F.max("_all").alias("n"), (F.sum(F.col(value) * F.col("_n")) / F.max("_all")).alias("mean"), at(F.floor(F.col("_all") / 2)).alias("upper_median"), at(F.floor(F.col("_all") * 9 / 10)).alias("p90"), F.max(value).alias("largest"))
 
 
-def top_k(df: DataFrame, key: Column, k: int, name: str = "value") -> DataFrame:
-    """The most frequent keys; ties by key."""
-    return df.groupBy(key.alias(name)).agg(F.count("*").alias("n")).orderBy(F.desc("n"), name).limit(k)
+def top_k(df: DataFrame, key: Column, k: int, name: str = "value", position: str | None = None) -> DataFrame:
+    """The most frequent keys; ties by key, or by the first place of each where ``position`` names it."""
+    if position is None:
+        return df.groupBy(key.alias(name)).agg(F.count("*").alias("n")).orderBy(F.desc("n"), name).limit(k)
+    counted = df.groupBy(key.alias(name)).agg(F.count("*").alias("n"), F.min(position).alias("_first"))
+    return counted.orderBy(F.desc("n"), "_first").limit(k).drop("_first")
+
+
+def split_profile(examples: DataFrame, name: str, order: list[str], samples: int = 10) -> DataFrame:
+    """One row about a split: size, domains, data sets, lengths of both sides, the first ids."""
+
+    def counts(value: Column) -> DataFrame:
+        found = examples.groupBy(value.cast("string").alias("k")).agg(F.count("*").alias("n"))
+        return found.agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("k", "n")))).alias("m"))
+
+    def lengths(text: str) -> Column:
+        return F.struct(F.min(F.length(text)).alias("min"), F.max(F.length(text)).alias("max"), F.round(F.avg(F.length(text)), 2).alias("mean"))
+
+    first = examples.orderBy(*order).limit(samples).select("id", F.struct(*order).alias("o"))
+    ids = first.agg(F.transform(F.array_sort(F.collect_list(F.struct("o", "id"))), lambda x: x["id"]).alias("sample_ids"))
+    facts = examples.agg(F.count("*").alias("num_examples"), lengths("source").alias("source_chars"), lengths("target").alias("target_chars"))
+    dataset = F.get_json_object("metadata", "$.source_dataset")
+    # one row each
+    joined = facts.crossJoin(counts(F.col("domain")).withColumnRenamed("m", "domains")).crossJoin(counts(dataset).withColumnRenamed("m", "source_datasets")).crossJoin(ids)
+    return joined.select(F.lit(name).alias("name"), "num_examples", "domains", "source_datasets", "source_chars", "target_chars", "sample_ids")
 
 
 def per_year(df: DataFrame, date: Column) -> DataFrame:

@@ -107,10 +107,16 @@ def q_dedupe_first(spark, d):
 
 @query("SELECT doc_id, (row_number() OVER (ORDER BY doc_id) - 1)::BIGINT AS ordinal, printf('quickmt_train_%010d', row_number() OVER (ORDER BY doc_id) - 1) AS id FROM documents")
 def q_row_index(spark, d):
-    numbered = rows.with_ordinal(table(spark, d, "documents").select("doc_id"), ["doc_id"])
+    numbered = rows.with_ordinal(table(spark, d, "documents"), ["doc_id"])
     return numbered.select("doc_id", F.col("ordinal").cast("long").alias("ordinal"), F.format_string("quickmt_train_%010d", "ordinal").alias("id"))
 
 
+@query("SELECT o_orderkey, o_totalprice, (row_number() OVER (ORDER BY o_orderkey) - 1)::BIGINT AS ordinal FROM orders")
+def q_order_ordinal(spark, d):
+    numbered = rows.with_ordinal(table(spark, d, "orders").repartition(7), ["o_orderkey"])
+    return numbered.select("o_orderkey", "o_totalprice", F.col("ordinal").cast("long").alias("ordinal"))
+
+
 @query("SELECT doc_id, CASE doc_id % 10 WHEN 0 THEN 'validation' WHEN 1 THEN 'test' ELSE 'train' END AS split FROM documents")
 def q_offset_split(spark, d):
     return table(spark, d, "documents").select("doc_id", rows.offset_split(F.col("doc_id")).alias("split"))
@@ -435,12 +441,12 @@ def q_classify_errors(spark, d):
     return calls.select("id", remote.classify_error(F.col("status"), F.col("timed_out")).alias("class"), remote.retry_after(F.col("header")).alias("wait"), remote.backoff(F.lit(2.0), F.col("attempt")).alias("pause"))
 
 
-RESPONSES = ['{"output_text":" direct "}', '{"output":[{"content":[{"type":"t","text":"one"},{"type":"t","text":" "}]},{"content":[{"type":"t","text":"two "}]}]}', '{"output":[]}', '{"output":[{"content":null}]}']
+RESPONSES = ['{"output_text":" direct "}', '{"output":[{"content":[{"type":"t","text":"one"},{"type":"t","text":" "}]},{"content":[{"type":"t","text":"two "}]}]}', '{"output":[]}', '{"output":[{"content":null}]}', '{"output":[{"content":" as a string"},{"content":[{"text":"and a part"}]}]}', '{"output":[{"content":"[1] cited"}]}']
 
 
-@query("SELECT * FROM (VALUES (0, 'direct'), (1, 'one' || chr(10) || 'two'), (2, NULL), (3, NULL)) AS t(id, body)")
+@query("SELECT * FROM (VALUES (0, 'direct'), (1, 'one' || chr(10) || 'two'), (2, NULL), (3, NULL), (4, 'as a string' || chr(10) || 'and a part'), (5, '[1] cited')) AS t(id, body)")
 def q_response_text(spark, d):
-    raw = spark.createDataFrame(list(enumerate(RESPONSES)), "id int, raw string").withColumn("r", F.from_json("raw", "output_text string, output array<struct<content: array<struct<type: string, text: string>>>>"))
+    raw = spark.createDataFrame(list(enumerate(RESPONSES)), "id int, raw string").withColumn("r", F.from_json("raw", remote.RESPONSE))
     return raw.select("id", remote.response_text(F.col("r")).alias("body"))
 
 
@@ -502,11 +508,12 @@ def q_stream_resume(spark, d):
     """A stream over the events table into a sink that keeps one row for each user."""
     import uuid
 
+    from quillmill.sources.durable import checkpoint_dir
+    from quillmill.sources.files import stream_source
     from quillmill.streaming.resume import collect
 
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
-    at = f"{base}/streams/{uuid.uuid4().hex}"
+    at = f"{checkpoint_dir(spark)}/streams/{uuid.uuid4().hex}"
     schema = table(spark, d, "events").schema
-    stream = spark.readStream.schema(schema).parquet(f"{d}/events.parquet*" if not d.startswith("viewfs") else f"{d}/events.parquet")
+    stream = spark.readStream.schema(schema).option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", True).parquet(stream_source(spark, f"{d}/events.parquet"))
     collect(stream.select("user_id", "event_id"), f"{at}/out", f"{at}/checkpoint", "user_id", ["event_id"]).awaitTermination()
     return spark.read.parquet(f"{at}/out").select("user_id", "event_id")

@@ -27,6 +27,15 @@ def read_jsonl(spark: SparkSession, path: str, schema: StructType | str, missing
     return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
 
 
+def read_jsonl_placed(spark: SparkSession, path: str, schema: StructType | str, name: str = "position") -> DataFrame:
+    """JSON Lines with each record's place among the records, from 0, files in order of path."""
+    from quillmill.operators.rows import with_ordinal
+
+    read = spark.read.schema(schema).option("mode", "FAILFAST").json(path)
+    placed = read.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_line"))
+    return with_ordinal(placed, ["_file", "_block", "_line"], name).drop("_file", "_block", "_line")
+
+
 def read_jsonl_numbered(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
     """``file, line, record, raw``: physical line numbers from 1; a malformed record is null.
 
@@ -55,6 +64,15 @@ def shard_paths(paths: list[str], count: int) -> list[str]:
     return chosen
 
 
+def stream_source(spark: SparkSession, path: str) -> str:
+    """What a file stream reads for a table that is a folder, or a single file: streams list folders or
+    patterns only, so a single file is named by a pattern that matches nothing else."""
+    jvm = spark.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    status = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(at)
+    return path if status.isDirectory() else f"{path[:-1]}[{path[-1]}]"
+
+
 def write_jsonl(df: DataFrame, path: str, mode: str = "overwrite", by: list[str] | None = None) -> None:
     """JSON Lines with explicit nulls, into one folder or one for each split."""
     writer = df.write.mode(mode).option("ignoreNullFields", "false")

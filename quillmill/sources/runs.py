@@ -45,7 +45,7 @@ def run_summaries(spark: SparkSession, root: str) -> DataFrame:
     """One row for each run's summary, named by its configuration where that names it."""
     summaries = spark.read.schema(SUMMARY).option("multiLine", True).json(f"{root}/run-*/files/wandb-summary.json")
     folder = F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)/files/[^/]+$", 1)
-    rows = summaries.select(folder.alias("run_dir"), F.coalesce("train/global_step", F.lit(0)).alias("global_step"), F.col("train/loss").alias("train_loss"), F.col("eval/loss").alias("eval_loss"), F.col("eval/mean_token_accuracy").alias("eval_token_accuracy"), (F.coalesce("_runtime", F.lit(0.0)) / 3600).alias("runtime_hours"))
+    rows = summaries.select(folder.alias("run_dir"), F.coalesce("train/global_step", F.lit(0)).alias("global_step"), F.col("train/loss").alias("train_loss"), F.col("eval/loss").alias("eval_loss"), F.col("eval/mean_token_accuracy").alias("eval_token_accuracy"), F.round(F.coalesce("_runtime", F.lit(0.0)) / 3600, 2).alias("runtime_hours"))
     configs = spark.read.text(f"{root}/run-*/files", pathGlobFilter="config.yaml", wholetext=True)
     named = configs.select(folder.alias("run_dir"), F.trim(F.regexp_extract("value", r"(?m)^(?:run_name|wandb_run_name):(.*)$", 1)).alias("named"))
     own = F.array_join(F.slice(F.split("run_dir", "-"), 3, 1000), "-")

@@ -82,7 +82,23 @@ def test_validate_and_evaluate_commands(spark, tmp_path, capsys):
 def test_prepare_and_extract_commands(spark, tmp_path, capsys):
     spark.createDataFrame([("A normal English sentence.", "这是一个正常的中文句子。", 0.5), ("x", "y", None)], "en string, zh string, sco double").write.parquet(f"{tmp_path}/raw")
     assert cli.main(["prepare", f"{tmp_path}/raw", "--out", f"{tmp_path}/out"]) == 0
-    assert spark.read.json(f"{tmp_path}/out/sft").count() == 1
+    assert spark.read.json(f"{tmp_path}/out/sft/train").count() == 1
+    profile = spark.read.json(f"{tmp_path}/out/profile/train").first()
+    assert profile.num_examples == 1 and profile.sample_ids == ["quickmt_train_0000000000"] and profile.domains.general == 1
+    target = {"title": "标题一二三四", "abstract": "摘要的内容在这里。", "category": "工学"}
+    for name, side in (("native", target), ("english", {"title": "A title", "abstract": "An abstract of some length.", "category": "Eng"})):
+        (tmp_path / f"{name}.jsonl").write_text("\n".join(json.dumps({"doc_id": f"p{k}", **side}) for k in range(30)) + "\n")
+    spark.createDataFrame([(f"A normal English sentence {k}.", "这是一个正常的中文句子。", 0.5) for k in range(20)], "en string, zh string, sco double").coalesce(1).write.parquet(f"{tmp_path}/held")
+    args = ["prepare", f"{tmp_path}/raw", "--held-back", f"{tmp_path}/held", "--native", f"{tmp_path}/native.jsonl", "--english", f"{tmp_path}/english.jsonl", "--out", f"{tmp_path}/all", "--abstracts", "4"]
+    capsys.readouterr()
+    assert cli.main(args) == 0
+    counts = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    import hashlib
+
+    dealt = [int(hashlib.sha1(f"p{k}".encode()).hexdigest(), 16) % 100 for k in range(30)]
+    assert counts == {"train": 5, "validation": 2 + sum(b < 10 for b in dealt), "test": 2 + sum(10 <= b < 20 for b in dealt)}
+    ids = [r.id for r in spark.read.json(f"{tmp_path}/all/sft/train").collect()]
+    assert set(ids) == {"quickmt_train_0000000000", *[f"p{k}" for k in range(30) if dealt[k] >= 20][:4]}
     (tmp_path / "pages").mkdir()
     (tmp_path / "pages/2401.1.html").write_text("<section><h2>Intro</h2><p>" + "Some useful words in a sentence. " * 12 + "</p></section>")
     papers = [{"arxiv_id": f"2401.{k}v1", "arxiv_base_id": f"2401.{k}", "title": "T", "cited_by_count": 30} for k in (1, 2)]
@@ -90,3 +106,63 @@ def test_prepare_and_extract_commands(spark, tmp_path, capsys):
     assert cli.main(["extract", "--candidates", f"{tmp_path}/papers.jsonl", "--pages", f"{tmp_path}/pages", "--out", f"{tmp_path}/seg"]) == 0
     assert json.loads(capsys.readouterr().out.strip().splitlines()[-1]) == {"processed": 1, "missing": 1}
     assert [r.id for r in spark.read.json(f"{tmp_path}/seg/segments").collect()] == ["2401.1v1_intro_0001"]
+
+
+def test_requests_of_the_remote_sources():
+    from quillmill.sources import requests
+
+    asked = []
+
+    def send(method, url, params):
+        asked.append((method, url, params))
+        if method == "HEAD":
+            return (405, {}, "") if url.endswith("a") else (200, {"content-type": "text/html"}, "")
+        if url == requests.WORKS_URL:
+            return 200, {}, json.dumps({"results": [{"id": "w"}], "meta": {"next_cursor": "n"}})
+        if url == requests.FEED_URL:
+            return (503, {"retry-after": "7"}, "") if len([x for x in asked if x[1] == url]) == 1 else (200, {}, '<feed xmlns="http://www.w3.org/2005/Atom"><entry><id>i</id></entry></feed>')
+        return 200, {"content-type": "application/pdf"}, ""
+
+    waits = []
+    assert requests.feed_page(send, ["cs.AI", "cs.CL"], 5, 10, waits.append)[0][0] == "i" and waits == [7.0]
+    assert asked[0][2] == {"search_query": "cat:cs.AI OR cat:cs.CL", "start": "5", "max_results": "10", "sortBy": "submittedDate", "sortOrder": "descending"}
+    assert requests.works_page(send, "c", 50, 30, "me@x") == ([('{"id": "w"}',)], "n")
+    assert asked[-1][2] == {"filter": "locations.source.id:S4306400194,cited_by_count:>29,topics.field.id:fields/17", "sort": "publication_date:desc", "per-page": "50", "cursor": "c", "mailto": "me@x"}
+    assert requests.found_works(send, "2401.1", "A title") == [("2401.1", 0, '{"id": "w"}')] and asked[-1][2] == {"search": "A title"}
+    probe = requests.page_probe(send)
+    assert probe("x/a") == (200, "application/pdf") and probe("x/b") == (200, "text/html") and [m for m, u, _ in asked if u == "x/a"] == ["HEAD", "GET"]
+    with pytest.raises(paged.RemoteError) as error:
+        requests.answered((429, {"retry-after": "soon"}, ""))
+    assert (error.value.status, error.value.retry_after) == (429, 0.0)
+    calls = iter([paged.RemoteError(404), "ok"])
+
+    def call():
+        x = next(calls)
+        if isinstance(x, Exception):
+            raise x
+        return x
+
+    assert requests.any_status_retried(call, sleep=waits.append) == "ok"
+
+
+def test_collection_stops_at_its_target_and_goes_on(spark, tmp_path):
+    from quillmill.streaming.resume import collect_pages
+
+    pages = {"*": ([("a", 1), ("b", 0)], "1"), "1": ([("a", 1), ("c", 1)], "2"), "2": ([("d", 1)], None)}
+    asked, said = [], []
+
+    def fetch(cursor):
+        asked.append(cursor)
+        return pages[cursor]
+
+    def accept(page, seen):
+        return page.where("good = 1").join(seen, "key", "left_anti")
+
+    def run(target, most=100):
+        return collect_pages(spark, fetch, "key string, good int", accept, f"{tmp_path}/c", "key", target, most, say=said.append)
+
+    assert run(1)["accepted"] == 1 and asked == ["*"]
+    assert run(2)["accepted"] == 2 and run(9, most=4)["seen"] == 4 and asked == ["*", "1"]
+    assert run(9) == {"pages": 3, "cursor": None, "done": True, "seen": 5, "accepted": 3} == run(9) and asked == ["*", "1", "2"]
+    assert [json.loads(x)["page_seen"] for x in said] == [2, 2, 1]
+    assert sorted(r.key for r in spark.read.parquet(f"{tmp_path}/c/accepted").collect()) == ["a", "c", "d"]

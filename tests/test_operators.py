@@ -199,12 +199,59 @@ def test_atom_feed_and_retries():
         paged.with_retries(lambda: (_ for _ in ()).throw(paged.RemoteError(404)), sleep=waits.append)
 
 
+ABSTRACT = "doc_id string, title string, abstract string, keywords array<string>, category string, category_eng string, discipline string, discipline_eng string"
+
+
 def test_stage_one(spark):
     raw = spark.createDataFrame([(k, "A normal English sentence.", "这是一个正常的中文句子。" if k % 2 else "no", 0.5) for k in range(6)] + [(9, "Another normal sentence.", "这是另一个正常的句子。", None)], "at long, en string, zh string, sco double")
     got = stages.general_examples(raw, "at", "train").orderBy("at").collect()
     assert [r.id for r in got] == ["quickmt_train_0000000001", "quickmt_train_0000000009"]
-    native = spark.createDataFrame([("p1", "标题一二三四", "摘要的内容在这里。", ["词"], "工学", "Engineering", "d", "D")], "doc_id string, title string, abstract string, keywords array<string>, category string, category_eng string, discipline string, discipline_eng string")
-    english = spark.createDataFrame([("p1", "A title", "An abstract of some length.", None, "Eng", "D")], "doc_id string, title string, abstract string, keywords array<string>, category string, discipline string")
-    made = [r for s in ("train", "validation", "test") for r in stages.abstract_examples(native, english, s).collect()]
-    assert len(made) == 1 and made[0].source == "A title\n\nAn abstract of some length." and made[0].metadata.keywords_en == []
-    assert stages.training_set([stages.general_examples(raw, "at", "train"), stages.abstract_examples(native, english, made[0].split)]).count() == 3
+    assert got[0].metadata.asDict() == {"source_dataset": "quickmt", "score": 0.5, "paper_id": None, "section": None}
+    target = ("标题一二三四", "摘要的内容在这里。")
+    native = [("b", *target, ["词"], "工学", "Engineering", "d", "D"), ("a", "太短", "", None, "工学", None, None, None), ("c", *target, None, "文学", None, None, None), ("a", *target, None, "理学", "", None, None), ("a", "另外一个标题", "另外一个摘要的内容。", None, "理学", None, None, None)]
+    english = [(i, f"Title {k}", "An abstract of some length.", None, "Eng", None, "Phys", None) for k, (i, *_) in enumerate(native)]
+    sides = [spark.createDataFrame([(*r, k) for k, r in enumerate(x)], f"{ABSTRACT}, position long").repartition(3) for x in (native, english)]
+    made = {r.id: r for s in ("train", "validation", "test") for r in stages.abstract_examples(*sides, s).collect()}
+    assert set(made) == {"a", "b"} and made["b"].source == "Title 0\n\nAn abstract of some length." and made["b"].metadata.keywords_en == []
+    assert made["a"].at == 3 and made["a"].metadata.category_eng == "Eng" and made["a"].metadata.discipline_eng == "Phys" and made["a"].metadata.section == "title_abstract"
+    with pytest.raises(Exception, match="at place 1"):
+        rows.positional_pairs(sides[0], sides[1].replace("a", "x", ["doc_id"]).where("position <> 4").union(sides[1].where("position = 4")), "position", "doc_id").where("position = 1").collect()
+    with pytest.raises(Exception, match="at place 4"):
+        rows.positional_pairs(sides[0], sides[1].where("position < 4"), "position", "doc_id").collect()
+    held = spark.createDataFrame([(k, f"A normal English sentence {k}.", "这是一个正常的中文句子。", 0.5) for k in range(40)], "at long, en string, zh string, sco double")
+    assert sorted((r.split, r.at) for r in stages.evaluation_examples(held, "at", {"validation": 3, "test": 2}).collect()) == [("test", 1), ("test", 11), ("validation", 0), ("validation", 10), ("validation", 20)]
+    assert stages.training_set([stages.general_examples(raw, "at", "train"), stages.abstract_examples(*sides, made["a"].split)]).count() >= 3
+
+
+@pytest.mark.parametrize("adaptive", ["true", "false"])
+def test_ordinals_hold_over_partitions_of_wide_rows(spark, adaptive):
+    spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    try:
+        wide = spark.range(60_000).select((F.col("id") * 7919 % 60_000).alias("k"), F.repeat(F.md5(F.col("id").cast("string")), 40).alias("payload")).repartition(9)
+        got = rows.with_ordinal(wide, ["k"], start=5)
+        assert got.columns == ["k", "payload", "ordinal"]
+        assert got.agg(F.count("*"), F.count_distinct("ordinal"), F.sum((F.col("ordinal") != F.col("k") + 5).cast("int"))).first() == (60_000, 60_000, 0)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert rows.with_ordinal(wide.limit(0), ["k"]).count() == 0
+
+
+def test_written_tables_leave_the_session_as_it_was(spark, monkeypatch):
+    from quillmill.sources import durable
+
+    before = [spark.conf.get(k, None) for k in durable.BATCHES]
+    written = durable.materialize(spark.range(5).toDF("id"), "some")
+    assert [spark.conf.get(k, None) for k in durable.BATCHES] == before and written.count() == 5
+    durable.discard(written)
+    assert not files.exists(spark, written.materialized_at)
+
+
+def test_top_k_ties_and_own_lists(spark, tmp_path):
+    df = spark.createDataFrame([(0, "z"), (1, "a"), (2, "a"), (3, "z"), (4, "m")], "at int, v string")
+    assert [r.value for r in summaries.top_k(df, F.col("v"), 2, position="at").collect()] == ["z", "a"]
+    assert [r.value for r in summaries.top_k(df, F.col("v"), 2).collect()] == ["a", "z"]
+    (tmp_path / "list.txt").write_text("國 國\n們", encoding="utf-8")
+    own = text.listed_characters(f"{tmp_path}/list.txt")
+    got = [r[0] for r in column(spark, ["繁體", "我們", "裏面"]).orderBy("k").select(text.traditional(F.col("v"), own)).collect()]
+    assert own == "國們" and got == [False, True, False]
+    assert all(r[0] for r in column(spark, list("裏説綫啓僞")).select(text.traditional(F.col("v"))).collect())
