@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -12,6 +10,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quillmill.sources.durable import bounded_batches, checkpoint_dir, discard, materialize  # noqa: F401
+
 #: Stands for a null document id inside joins.
 NULL_ID = -(1 << 63)
 
@@ -19,66 +19,16 @@ NULL_ID = -(1 << 63)
 DOCUMENT_COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
-#: Rows of an Arrow batch: whole texts are long, and a batch stands in the JVM and in Python at once.
-ARROW_ROWS = "1000"
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table of the driver's data set; bounds Arrow batches for what reads it."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
+    """A table of the driver's data set."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder that the cluster names in ``spark.checkpoint.dir``.
-
-    Only where the session names none (tests, a laptop) is a local temporary folder set.
-    """
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if not named:
-        current = spark.sparkContext._jsc.sc().getCheckpointDir()
-        if current.isDefined():
-            named = current.get()
-        else:
-            named = f"file://{tempfile.mkdtemp(prefix='quillmill-')}"
-    if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
-        spark.sparkContext.setCheckpointDir(named)
-    return named
-
-
-def materialize(df: DataFrame, tag: str) -> DataFrame:
-    """Write ``df`` as zstd Parquet in the shared checkpoint folder and read it back.
-
-    The files survive the loss of executors, and readers prune columns.  They stay until
-    :func:`discard` or until the cluster clears its checkpoint folder, since lazily read results may
-    still need them.  A side of a join that is an aggregate is written first where its key may be
-    hot: only joins of two plain exchanges have their skewed partitions split.
-    """
-    spark = df.sparkSession
-    path = f"{checkpoint_dir(spark)}/quillmill/{tag}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    out = spark.read.schema(df.schema).parquet(path)
-    out.materialized_at = path
-    return out
-
-
-def discard(df: DataFrame) -> None:
-    """Delete a materialized table that nothing reads any more."""
-    jvm = df.sparkSession.sparkContext._jvm
-    at = jvm.org.apache.hadoop.fs.Path(df.materialized_at)
-    at.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
-
-
 def row_key(doc_id: str = "doc_id", text: str = "text"):
     """Second half of a document's key beside its id: rows that share an id but not the text differ."""
     return F.xxhash64(F.coalesce(F.col(text), F.lit("")))
 
 
-def documents_keyed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc_id, row_hash, text`` with null texts as empty ones."""
-    return docs.select(F.col(doc_id).alias("doc_id"), row_key(doc_id, text).alias("row_hash"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-
-
 def texts_of(column: pa.Array) -> list[str]:
     """Strings of an Arrow column; null is the empty text."""
     return ["" if x is None else x for x in column.to_pylist()]
@@ -90,6 +40,14 @@ def bytes_of(column: pa.Array) -> list[bytes]:
     return [b"" if x is None else x for x in column.cast(kind).to_pylist()]
 
 
+def slices(strings: pa.Array) -> list[bytes]:
+    """Bytes of each of many strings without nulls, cut from one copy of their buffer."""
+    data = strings.cast(pa.large_string())
+    ends = np.frombuffer(data.buffers()[1], np.int64)[data.offset : data.offset + len(data) + 1].tolist()
+    blob = data.buffers()[2].to_pybytes()
+    return [blob[a:b] for a, b in zip(ends, ends[1:])]
+
+
 def small_batches(batches: Iterator[pa.RecordBatch], text: str = "text", limit: int = 8_000_000) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches so that one holds about ``limit`` bytes of text (or one row)."""
     for batch in batches:
@@ -115,16 +73,43 @@ def hashed_sample(df: DataFrame, key: str, rows: int) -> DataFrame:
     return df.where(F.xxhash64(F.lit("sample"), F.col(key)) < bound).limit(2 * rows)
 
 
-class BoundedCache(dict):
-    """A worker's cache: emptied when it outgrows its bound, so that memory stays flat."""
+class BoundedCache:
+    """A worker's cache of byte strings or numbers by key, in two generations.
+
+    The newer one becomes the older one when it holds ``limit`` bytes, by estimate; what is looked up
+    again moves to the newer.  So memory is bounded in bytes, whatever the keys, and frequent ones stay.
+    """
+
+    #: Bytes that an entry takes beside its characters: two objects and a slot.
+    ENTRY = 190
 
     def __init__(self, limit: int):
-        super().__init__()
-        self.limit = limit
+        self.limit, self.size = limit, 0
+        self.newer: dict = {}
+        self.older: dict = {}
+
+    def __len__(self) -> int:
+        return len(self.newer) + len(self.older)
 
     def make_room(self) -> None:
-        if len(self) > self.limit:
-            self.clear()
+        """Between two lookups: begin a generation if this one is full."""
+        if self.size > self.limit:
+            self.older, self.newer, self.size = self.newer, {}, 0
+
+    def get_all(self, keys: list) -> list:
+        """Values of the keys; None where there is none."""
+        found = list(map(self.newer.get, keys))
+        if self.older:
+            get = self.older.get
+            for i in [i for i, x in enumerate(found) if x is None]:
+                if (old := get(keys[i])) is not None:
+                    self.put(keys[i], old)
+                    found[i] = old
+        return found
+
+    def put(self, key, value) -> None:
+        self.newer[key] = value
+        self.size += self.ENTRY + len(key) + (len(value) if isinstance(value, bytes) else 0)
 
 
 def with_text_key(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -60,4 +60,6 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         mark = now
     else:
         raise RuntimeError(f"components have not settled in {max_rounds} rounds")
-    return current.select(F.col("u").alias("node"), F.col("v").alias("component")).union(current.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
+    out = materialize(current.select(F.col("u").alias("node"), F.col("v").alias("component")).union(current.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()), "components")
+    discard(current)
+    return out
