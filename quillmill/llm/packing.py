@@ -3,29 +3,34 @@
 Each document becomes token ids plus one end id.  Whole stretches of ``length`` ids fill sequences
 of their own; what remains of each document is placed first-fit decreasing, with a tournament tree
 over the bins' free room that finds the first bin with room in ``O(log bins)``.  Packing runs
-independently in randomised groups of documents (hash of id and text), so that no task sees more
-than a group, and a hot source or a run of copies is spread evenly.
+independently in randomised groups of rows, so that no task sees more than a group; repeated rows,
+a hot source or a run of copies are spread over the groups like any others.
 """
 
 from __future__ import annotations
 
+import struct
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillmill.llm.common import small_batches, texts_of
+from quillmill.llm.common import NULL_ID, BoundedCache, slices, small_batches
 from quillmill.llm.token_counts import load_tokenizer
 
 #: Fixed value: the word-end BPE pre-tokenizer's published pattern, for text that is lower-cased.
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+"
+#: Words whose lower-casing and pre-tokens are plain; any other word goes to the tokenizer as it is.
+USUAL = "[!-~\xa1-\xac\xae-\u012f\u0131-\u024f\u0400-\u052f\u2010-\u2027\u2030-\u205e]+"
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, pack_group long"
 PACKED = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
+#: Bytes of text that are encoded at once; a longer text goes in parts.
+PART = 4_000_000
 
 
 class TournamentTree:
@@ -72,127 +77,158 @@ def first_fit_decreasing(sizes: np.ndarray, capacity: int) -> tuple[np.ndarray,
     return bins, offsets
 
 
-class WordEncoder:
-    """Ids of texts as little-endian uint32 bytes, by a cache of white-space words.
+def byte_alphabet() -> dict[int, int]:
+    """The character that stands for each byte in a byte-level vocabulary: itself where it can be
+    seen, else the next one from 256 on."""
+    seen = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in set(seen)]
+    return {b: b for b in seen} | {b: 256 + k for k, b in enumerate(hidden)}
+
 
-    The cache has two generations, each of bounded size; what is looked up again moves to the newer.
+def parts_of(text: str, limit: int) -> Iterator[str]:
+    """A text in parts of about ``limit`` characters, cut at ASCII white space only."""
+    at = 0
+    while len(text) - at > limit:
+        cut = max(text.rfind(c, at, at + limit) for c in " \t\n\r\v\f")
+        if cut <= at:
+            cut = min((k for c in " \t\n\r\v\f" if (k := text.find(c, at + limit)) >= 0), default=len(text))
+        yield text[at:cut]
+        at = cut
+    yield text[at:]
 
-    A pre-token's last id carries the end-of-word mark, so words that the cache lacks are encoded many
-    at a time, joined by spaces, and told apart by counting those marks.  Texts with characters beyond the
-    ranges of ``unusual``, where normalization could reach across pre-tokens, are encoded whole.
+
+class WordEncoder:
+    """Ids of texts, by way of their distinct words.
+
+    The tokenizer normalizes, drops white space and never joins what white space parts, so a text's ids
+    are those of its words in order.  A batch is lower-cased and split and its distinct words found in
+    Arrow; only these are looked up, in a cache bounded in bytes, or encoded; numpy lays the ids out for
+    all words.  Plain words go to the vocabulary's model one pre-token at a time, others through the
+    whole tokenizer, as do texts that may hold a special token, whose case counts.
     """
 
-    def __init__(self, path: str, cache_limit: int = 600_000):
+    def __init__(self, path: str, cache_bytes: int = 40 << 20):
         import regex
 
-        from tokenizers import Tokenizer, normalizers, pre_tokenizers
-
         self.tokenizer = load_tokenizer(path)
-        #: The same model for words that are one lower-case pre-token: nothing to normalize or split.
-        self.lean = Tokenizer.from_str(self.tokenizer.to_str())
-        self.lean.normalizer = normalizers.Sequence([])
-        self.lean.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        self.model = self.tokenizer.model
         self.findall = regex.compile(WORD_PATTERN).findall
-        self.unusual = regex.compile("[^\t\n\r\x20-\x7e\xa1-\xac\xae-\u012f\u0131-\u024f\u0400-\u052f\u2010-\u2027\u2030-\u205e]").search
-        size = self.tokenizer.get_vocab_size()
-        self.last = np.array([(self.tokenizer.id_to_token(i) or "").endswith("</w>") for i in range(size)])
-        self.limit = cache_limit
-        self.words: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
-
-    def _raw(self, text: str) -> bytes:
+        self.usual = regex.compile(USUAL).fullmatch
+        self.alphabet = byte_alphabet()
+        self.cache = BoundedCache(cache_bytes)
+        self.packed = [struct.Struct(f"<{k}I").pack for k in range(65)]
+        self.tails = {w: self.raw(w.decode()) for w in (b".", b",")}
+
+    def raw(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def _learn(self, missed: set[str]) -> None:
-        """Encode words that the cache lacks: as (word, its pre-tokens spaced, their number)."""
-        plain, others = [], []
-        for w in missed:
-            if w in self.older:
-                self.words[w] = self.older[w]
-            elif w.isalpha():
-                plain.append((w, w, 1))
-            elif w[-1] in ".," and w[:-1].isalpha():
-                plain.append((w, f"{w[:-1]} {w[-1]}", 2))
-            elif "<|" in w:
-                self.words[w] = self._raw(w)
-            else:
-                others.append((w, w, len(self.findall(w.lower()))))
-        for fresh, tokenizer in ((plain, self.lean), (others, self.tokenizer)):
-            for k in range(0, len(fresh), 2000):
-                words, texts, sizes = zip(*fresh[k : k + 2000])
-                ids = np.array(tokenizer.encode_batch_fast([" ".join(texts).lower()], add_special_tokens=False)[0].ids, "<u4")
-                ends, marks = np.flatnonzero(self.last[ids]) + 1, np.cumsum(sizes)
-                if marks[-1] == len(ends) and ends[-1] == len(ids):
-                    data, cuts = ids.tobytes(), (4 * ends[marks - 1]).tolist()
-                    self.words.update(zip(words, [data[a:b] for a, b in zip([0, *cuts], cuts)]))
-                else:
-                    self.words.update((w, self._raw(w)) for w in words)
-
-    def encode(self, texts: list[str]) -> Iterator[bytes]:
-        if len(self.words) > self.limit:  # words in use move on to the new generation
-            self.words, self.older = {}, self.words
-        get, missed, out = self.words.get, set(), []
-        for t in texts:
-            if self.unusual(t):
-                out.append((None, [self._raw(t)], False))
-                continue
-            split = t.split()
-            ids = list(map(get, split))
-            some = None in ids
-            if some:
-                missed.update([w for w, x in zip(split, ids) if x is None])
-            out.append((split, ids, some))
-        if missed:
-            self._learn(missed)
-        for split, ids, some in out:
-            yield b"".join([self.words[w] if x is None else x for w, x in zip(split, ids)] if some else ids)
+    def learn(self, word: bytes) -> bytes:
+        """Ids, as little-endian uint32 bytes, of a word that the cache lacks; ASCII is lower-case."""
+        tail = self.tails.get(word[-1:], b"")
+        stem = word[:-1] if tail else word
+        if stem.isalpha() and len(stem) <= 64:
+            cache = self.cache
+            found = cache.newer.get(stem) or cache.older.get(stem)
+            if found is None:
+                ids = [t.id for t in self.model.tokenize(stem.decode())]
+                found = self.packed[len(ids)](*ids)
+                cache.put(stem, found)
+            return found + tail
+        text = word.decode()
+        if not self.usual(text):
+            found = self.raw(text)
+        else:
+            pieces = (x.encode().decode("latin-1").translate(self.alphabet) for x in self.findall(text.lower()))
+            found = np.array([t.id for x in pieces for t in self.model.tokenize(x)], "<u4").tobytes()
+        if len(word) <= 64:
+            self.cache.put(word, found)
+        return found
+
+    def look_up(self, words: list[bytes]) -> list[bytes]:
+        self.cache.make_room()
+        found, learn = self.cache.get_all(words), self.learn
+        for i in [i for i, x in enumerate(found) if x is None]:
+            found[i] = learn(words[i]) if words[i] else b""
+        return found
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts after each other, and the offset of each text's and of the end."""
+        texts = pc.fill_null(texts, "")
+        special = pc.match_substring(texts, "<|").to_numpy(zero_copy_only=False)
+        words = pc.ascii_split_whitespace(pc.ascii_lower(pc.if_else(pa.array(special), "", texts)))
+        coded = words.flatten().dictionary_encode()
+        known = self.look_up(slices(coded.dictionary))
+        sizes = np.fromiter(map(len, known), np.int64, len(known)) // 4
+        every, starts = np.frombuffer(b"".join(known), "<u4"), np.cumsum(sizes) - sizes
+        which = coded.indices.to_numpy(zero_copy_only=False)
+        counts = sizes[which]
+        ends = np.cumsum(counts)
+        total = int(ends[-1]) if len(ends) else 0
+        ids = every[np.repeat(starts[which] - ends + counts, counts) + np.arange(total)]
+        offsets = np.append(0, ends)[np.cumsum(np.append(0, pc.list_value_length(words).to_numpy(zero_copy_only=False)))]
+        if not special.any():
+            return ids, offsets
+        whole = [np.frombuffer(self.raw(texts[i].as_py()), "<u4") if s else ids[a:b] for i, (s, a, b) in enumerate(zip(special.tolist(), offsets, offsets[1:]))]
+        return np.concatenate(whole), np.cumsum([0, *map(len, whole)])
+
+    def encode_whole(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Like :meth:`encode`, in parts where a single text is very long."""
+        if len(texts) != 1 or not texts[0].is_valid or len(texts[0].as_py()) <= PART:
+            return self.encode(texts)
+        ids = np.concatenate([self.encode(pa.array([part]))[0] for part in parts_of(texts[0].as_py(), PART)])
+        return ids, np.array([0, len(ids)])
 
 
 _encoders: dict[str, WordEncoder] = {}
 
 
 def worker_encoder(path: str) -> WordEncoder:
-    """The Python worker's encoder, whose caches outlive a task."""
+    """The Python worker's encoder, whose cache outlives a task."""
     if path not in _encoders:
         _encoders[path] = WordEncoder(path)
     return _encoders[path]
 
 
 def cut_pieces(docs: DataFrame, path: str, length: int, end_id: int, groups: int, seed: int, doc_id: str, text: str) -> DataFrame:
-    """Pieces of at most ``length`` ids, each with its checksum and its packing group."""
-    end = np.array([end_id], "<u4").tobytes()
+    """Pieces of at most ``length`` ids, each with its checksum and its packing group.
+
+    The group is drawn by row, not by content, so that a run of equal rows is spread over all groups.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = worker_encoder(path)
-        for batch in small_batches(batches):
-            out = []
-            for d, ids, g in zip(batch.column("doc_id").to_pylist(), encoder.encode(texts_of(batch.column("text"))), batch.column("pack_group").to_pylist()):
-                ids += end
-                n = len(ids) // 4
-                for start in range(0, n, length):
-                    piece = ids[4 * start : 4 * (start + length)]
-                    out.append((d, start, len(piece) // 4, zlib.crc32(piece), n, g))
-            columns = list(zip(*out))
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "pack_group"])
-
-    group = F.pmod(F.xxhash64(F.lit(seed), F.col(doc_id), F.col(text)), F.lit(groups))
+        for batch in small_batches(batches, limit=PART):
+            ids, offsets = encoder.encode_whole(batch.column("text"))
+            ids = np.insert(ids, offsets[1:], end_id).astype("<u4")
+            offsets = offsets + np.arange(len(offsets))
+            tokens = np.diff(offsets)
+            pieces = -(-tokens // length)
+            owner = np.repeat(np.arange(len(tokens)), pieces)
+            start = (np.arange(len(owner)) - np.repeat(np.cumsum(pieces) - pieces, pieces)) * length
+            size = np.minimum(length, tokens[owner] - start)
+            begin, data = offsets[owner] + start, memoryview(ids).cast("B")
+            sums = [zlib.crc32(data[4 * a : 4 * b]) for a, b in zip(begin.tolist(), (begin + size).tolist())]
+            at = pa.array(owner)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(at), *map(pa.array, (start, size, np.array(sums, np.int64), tokens[owner])), batch.column("pack_group").take(at)], ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "pack_group"])
+
+    group = F.pmod(F.xxhash64(F.lit(seed), F.col(doc_id).cast("long"), F.monotonically_increasing_id()), F.lit(groups))
     return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), group.alias("pack_group")).mapInArrow(run, PIECES)
 
 
-def pack_group(length: int):
-    """Function for ``applyInPandas`` that lays out one group's pieces."""
+def lay_out_group(length: int):
+    """Function for ``applyInArrow`` that lays out one group's pieces."""
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["doc_tokens", "doc_id", "start", "ids_crc32"], kind="stable").reset_index(drop=True)
-        sizes = pdf["length"].to_numpy(np.int64)
-        bins, offsets = np.zeros(len(pdf), np.int64), np.zeros(len(pdf), np.int64)
+    def run(pieces: pa.Table) -> pa.Table:
+        keys = [pieces.column(c).fill_null(NULL_ID).to_numpy() for c in ("ids_crc32", "start", "doc_id", "doc_tokens")]
+        pieces = pieces.take(pa.array(np.lexsort(keys)))
+        sizes = pieces.column("length").to_numpy()
+        bins, offsets = np.zeros(len(sizes), np.int64), np.zeros(len(sizes), np.int64)
         full = sizes == length
         bins[full] = np.arange(full.sum())
         bins[~full], offsets[~full] = first_fit_decreasing(sizes[~full], length)
         bins[~full] += full.sum()
-        pdf["sequence_id"] = pdf["pack_group"].to_numpy(np.int64) * (1 << 32) + bins
-        pdf["offset"] = offsets
-        return pdf[["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]]
+        sequence = pieces.column("pack_group").to_numpy() * (1 << 32) + bins
+        return pieces.drop_columns(["pack_group"]).append_column("sequence_id", pa.array(sequence)).append_column("offset", pa.array(offsets))
 
     return run
 
@@ -204,9 +240,11 @@ def pack_documents(docs: DataFrame, tokenizer_path: str | None = None, length: i
     places of their own.  Ties in size go by document, then by start.  Sequences of one group are
     numbered within it: ``sequence_id = group * 2**32 + bin``.  An empty table gives an empty result.
     ``group_documents`` bounds what a task packs at once, so one group's last bin is the only one
-    whose room is left for lack of pieces.
+    whose room is left for lack of pieces.  Groups are drawn by a row's place in ``docs``, so these
+    should be read from files (or a written table), whose rows come in the same order when a task is
+    run again; their number follows from a count, which file footers answer.
     """
     path = tokenizer_path or public_tokenizers.path("word_bpe_49k.json")
     groups = max(1, -(-docs.count() // group_documents))
     pieces = cut_pieces(docs, path, length, end_id, groups, seed, doc_id, text)
-    return pieces.groupBy("pack_group").applyInPandas(pack_group(length), PACKED)
+    return pieces.groupBy("pack_group").applyInArrow(lay_out_group(length), PACKED)
