@@ -5,9 +5,10 @@ UTF-8 blob, end offsets, and a byte per length.  Tier two is a cache in each Pyt
 by encoding the pre-tokens that tier one misses.  No pre-token is ever shuffled, so one common word
 is no hot key, and the plan has no exchange.
 
-The byte-level pre-tokenizer's pattern is matched here by :mod:`regex`.  Texts with characters of
-U+3000 and above, where Unicode versions could differ, are handed to the tokenizer whole, so that
-counts equal the library's for every text.
+The byte-level pre-tokenizer's pattern is matched here by :mod:`regex`.  Where Unicode versions could
+differ, in rare characters from U+3000 on, a text is cut before each run of white space, which always
+begins a pre-token, and these segments take the place of pre-tokens; so counts equal the library's for
+every text.
 """
 
 from __future__ import annotations
@@ -26,6 +27,8 @@ from quillmill.llm.common import BoundedCache, bytes_of, hashed_sample, small_ba
 
 #: Fixed value: the byte-level BPE pre-tokenizer's published pattern.
 BYTE_LEVEL_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: Characters of text that are counted at once, whatever the length of a text.
+PART = 2_000_000
 SCHEMA = "doc_id long, n_bytes long, n_tokens long, over_limit boolean"
 
 _loaded: dict = {}
@@ -57,49 +60,82 @@ def unpack_table(table: tuple[bytes, np.ndarray, np.ndarray]) -> dict[str, int]:
     return {blob[a:b].decode(): n for a, b, n in zip(starts, starts[1:], lengths.tolist())}
 
 
+#: Characters whose class no version of Unicode has changed: kana, common Han, Hangul syllables,
+#: full-width forms, variation selectors and pictographs.
+STABLE = "\u3000-\u303e\u3041-\u3096\u309d-\u309f\u30a1-\u30ff\u4e00-\u9fa5\uac00-\ud7a3\ufe00-\ufe0f\uff01-\uff5e\U0001f300-\U0001faff"
+#: White space of every version of Unicode.
+WHITE = "\\x09-\\x0d\\x20\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
+
+
 class PreTokenCounter:
     """Counts a text's tokens from the lengths of its pre-tokens; exact for any text."""
 
-    def __init__(self, path: str, table=None, cache_limit: int = 400_000):
+    def __init__(self, path: str, table=None, cache_bytes: int = 32 << 20):
         import regex
 
         self.tokenizer = load_tokenizer(path)
         self.findall = regex.compile(BYTE_LEVEL_PATTERN).findall
-        self.unusual = regex.compile("[　-\U0010ffff]").search
+        self.unusual = regex.compile(f"[^\x00-\u2fff{STABLE}]").search
+        self.segments = regex.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+").findall
         specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.specials = regex.compile("|".join(map(regex.escape, specials))) if specials else None
         self.table, self.frequent = table, unpack_table(table) if table else {}
-        self.cache = BoundedCache(cache_limit)
+        self.cache = BoundedCache(cache_bytes)
+
+    def pre_tokens(self, text: str) -> list[str]:
+        return self.segments(text) if self.unusual(text) else self.findall(text)
+
+    def lengths(self, keys: list[str]) -> dict[str, int]:
+        """Tokens of each of these pre-tokens: from the frequent ones, the cache, or the tokenizer."""
+        known = {x: n for x in keys if (n := self.frequent.get(x)) is not None}
+        rest = [x for x in keys if x not in known]
+        self.cache.make_room()
+        missed = []
+        for x, n in zip(rest, self.cache.get_all(rest)):
+            if n is None:
+                missed.append(x)
+            else:
+                known[x] = n
+        for k in range(0, len(missed), 4096):
+            some = missed[k : k + 4096]
+            for x, e in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
+                known[x] = len(e.ids)
+                if len(x) <= 64:
+                    self.cache.put(x, known[x])
+        return known
 
     def count(self, texts: list[str]) -> list[int]:
         totals = [0] * len(texts)
         parts: list[tuple[int, list[str]]] = []
-        missed: set[str] = set()
-        frequent, cache = self.frequent, self.cache
         for i, text in enumerate(texts):
-            if self.unusual(text):
-                totals[i] = len(self.tokenizer.encode(text, add_special_tokens=False).ids)
-                continue
             pieces = [text]
             if self.specials and self.specials.search(text):
                 totals[i] += len(self.specials.findall(text))
                 pieces = self.specials.split(text)
-            for piece in pieces:
-                found = self.findall(piece)
-                parts.append((i, found))
-                missed.update(x for x in found if x not in frequent and x not in cache)
-        if missed:
-            cache.make_room()
-            if not cache:
-                missed = {x for _, found in parts for x in found if x not in frequent}
-            fresh = list(missed)
-            for k in range(0, len(fresh), 4096):
-                some = fresh[k : k + 4096]
-                cache.update(zip(some, (len(e.ids) for e in self.tokenizer.encode_batch_fast(some, add_special_tokens=False))))
+            parts += [(i, self.pre_tokens(piece)) for piece in pieces if piece]
+        distinct: set[str] = set()
+        for _, found in parts:
+            distinct.update(found)
+        lengths = self.lengths(list(distinct))
         for i, found in parts:
-            totals[i] += sum([frequent[x] if x in frequent else cache[x] for x in found])
+            totals[i] += sum(map(lengths.__getitem__, found))
         return totals
 
+    def count_long(self, text: str) -> int:
+        """Count of one very long text, in parts that begin with a run of white space."""
+        total, at = 0, 0
+        while len(text) - at > PART:
+            cut = next((m.start() for m in self.breaks(text, at + PART)), len(text))
+            total += self.count([text[at:cut]])[0]
+            at = cut
+        return total + self.count([text[at:]])[0]
+
+    def breaks(self, text: str, at: int):
+        """Places from ``at`` on where a plain letter is followed by one space and a plain letter."""
+        import re
+
+        return re.compile(r"(?<=[a-z]) (?=[a-z])").finditer(text, at)
+
 
 _counters: dict[str, PreTokenCounter] = {}
 
@@ -123,7 +159,7 @@ def frequent_table(docs: DataFrame, path: str, sample_rows: int = 400, sample_by
     picked = hashed_sample(docs.select(F.col(doc_id).alias("doc_id"), F.when(F.octet_length(text) <= sample_bytes, F.col(text)).alias("text")), "doc_id", sample_rows)
     sample = [row for row in picked.select("text").collect() if row.text]
     counter = PreTokenCounter(path)
-    seen = Counter(x for row in sample for piece in (counter.specials.split(row.text) if counter.specials else [row.text]) for x in counter.findall(piece) if len(x) <= 64)
+    seen = Counter(x for row in sample for piece in (counter.specials.split(row.text) if counter.specials else [row.text]) for x in counter.pre_tokens(piece) if len(x) <= 64)
     common = [x for x, _ in sorted(seen.items(), key=lambda kv: (-kv[1], kv[0]))[:entries]]
     lengths = [len(e.ids) for e in counter.tokenizer.encode_batch_fast(common, add_special_tokens=False)] if common else []
     return pack_table(dict(zip(common, lengths)))
@@ -141,8 +177,9 @@ def count_tokens(docs: DataFrame, tokenizer_path: str | None = None, limit: int
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = worker_counter(path, table.value)
-        for batch in small_batches(batches):
-            counts = np.array(counter.count(texts_of(batch.column("text"))), np.int64)
+        for batch in small_batches(batches, limit=PART):
+            texts = texts_of(batch.column("text"))
+            counts = np.array(counter.count(texts) if len(texts) > 1 else [counter.count_long(texts[0])], np.int64)
             sizes = pa.array([len(x) for x in bytes_of(batch.column("text"))], pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), sizes, pa.array(counts), pa.array(counts > limit)], ["doc_id", "n_bytes", "n_tokens", "over_limit"])
 
