@@ -14,10 +14,11 @@ OP4 = f"""WITH RECURSIVE v AS (SELECT vec_id, label, embedding::DOUBLE[] AS e FR
 
 _WORDS = r"list_filter(string_split_regex(lower(coalesce(text, '')), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '')"
 OP5 = f"""WITH i AS (SELECT item_id, {_WORDS} AS words FROM benchmark), d AS (SELECT doc_id, {_WORDS} AS words FROM documents),
- iw AS (SELECT item_id, len(words) AS item_size, unnest(words) AS w, generate_subscripts(words, 1) AS place FROM i WHERE len(words) >= 5),
- dw AS (SELECT doc_id, unnest(words) AS w, generate_subscripts(words, 1) AS pos FROM d)
- SELECT doc_id, item_id, (pos - place)::BIGINT AS start, count(*) AS n_equal, item_size::BIGINT AS item_size, count(*) / item_size AS overlap
- FROM dw JOIN iw USING (w) GROUP BY doc_id, item_id, pos - place, item_size HAVING count(*) >= 0.8 * item_size"""
+ iw AS (SELECT item_id, len(words) AS item_size, unnest(words) AS w, generate_subscripts(words, 1) AS place FROM i),
+ dw AS (SELECT doc_id, unnest(words) AS w, generate_subscripts(words, 1) AS pos FROM d),
+ met AS (SELECT doc_id, item_id, pos - place AS start, place, item_size, lead(place, 19) OVER (PARTITION BY doc_id, item_id, pos - place ORDER BY place) AS twentieth FROM dw JOIN iw USING (w))
+ SELECT doc_id, item_id, start::BIGINT AS start, count(*) AS n_equal, item_size::BIGINT AS item_size, count(*) / item_size AS overlap
+ FROM met GROUP BY doc_id, item_id, start, item_size HAVING count(*) >= 0.8 * item_size OR bool_or(coalesce(twentieth - place < 25, false))"""
 
 OP8 = f"""WITH RECURSIVE d AS (SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') AS words FROM documents),
  s AS (SELECT DISTINCT doc_id, array_to_string(words[k : k + 4], ' ') AS shingle FROM (SELECT doc_id, words, unnest(generate_series(1, greatest(len(words) - 4, 1))) AS k FROM d WHERE len(words) > 0)),
