@@ -1,9 +1,11 @@
 """License scans: ordered signature rules over whole texts, in DataFrame functions only.
 
 A gate of plain substring tests lets few documents through to the rules.  There, anchor words select
-the rules that can start at them, a keyword gate spares most regexes, and each match is an interval
+the rules that can start at them, a rule's keyword spares most regexes, and each match is an interval
 of words with a label and a priority.  A match that lies within one of at least its priority is
-suppressed, equal intervals leaving the first rule's.  The scan is map-only: no exchange, no Python.
+suppressed, equal intervals leaving the first rule's; as no match is longer than the window, only
+matches from the last places are compared, so the work grows with the text, not with its square.  The
+scan is map-only: no exchange, no Python.
 """
 
 from __future__ import annotations
@@ -11,13 +13,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillmill.llm.license_rules import BASE_PHRASES, Rule, build_rules
+from quillmill.llm.license_rules import BASE_PHRASES, WINDOW, Rule, build_rules
 
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
-#: Every rule and base phrase holds one of these.
-GATE = ("licen", "spdx", "gpl", "cc0", "apache", "bsd", "wtfpl", "creative commons")
-WINDOW = 24
+#: Every signature and base phrase holds one of these, or a short name before a number, or "cc by".
+GATE = ("licen", "spdx", "gpl", "cc0", "apache", "bsd", "wtfpl", "commons", "hereby", "distribut", "unencumbered", "misrepresent", "copyright", "warrant", "domain", "openssl", "mozilla", "mulan", "endorse", "cddl", "cecill", "jpeg", "advertising")
+SHORT_NAMES = ("cc", "mpl", "epl", "asl", "ofl", "eupl")
+SHORT_NAME = r"(?<![a-z0-9\x80-\uffff])(?:cc|mpl|epl|asl|ofl|eupl)[\x00-\x2F\x3A-\x60\x7B-\x7F]+(?:by|zero|v?[\x00-\x2F\x3A-\x60\x7B-\x7F]*[0-9])"
 
 
 def quoted(text: str) -> str:
@@ -26,16 +29,20 @@ def quoted(text: str) -> str:
 
 def gate(lowered: Column) -> Column:
     """Whether a lower-cased text can hold a phrase at all."""
-    some = lowered.contains(GATE[0])
-    for word in GATE[1:]:
+    some, short = F.lit(False), F.lit(False)
+    for word in GATE:
         some = some | lowered.contains(word)
-    return some | (lowered.contains("cc") & lowered.rlike(r"(?<![a-z0-9\x80-￿])cc[\x00-\x2F\x3A-\x60\x7B-\x7F]+(?:by|zero)(?![a-z0-9\x80-￿])"))
+    for word in SHORT_NAMES:
+        short = short | lowered.contains(word)
+    return some | (short & lowered.rlike(SHORT_NAME))
 
 
 def rule_table(rules: list[Rule]) -> str:
-    """SQL array of the rules; its size is fixed by the rule set."""
-    rows = (f"named_struct('anchor', '{r.anchor}', 'keyword', '{r.keyword}', 'pattern', {quoted(r.pattern)}, 'label', '{r.label}', 'priority', {r.priority}, 'rank', {k})" for k, r in enumerate(rules))
-    return "array(" + ", ".join(rows) + ")"
+    """SQL map from an anchor to its rules; its size is fixed by the rule set."""
+    by_anchor: dict[str, list[str]] = {}
+    for k, r in enumerate(rules):
+        by_anchor.setdefault(r.anchor, []).append(f"named_struct('keyword', '{r.keyword}', 'pattern', {quoted(r.pattern)}, 'label', '{r.label}', 'priority', {r.priority}, 'rank', {k})")
+    return f"map_from_arrays(array({', '.join(map(repr, by_anchor))}), array({', '.join(f'array({", ".join(x)})' for x in by_anchor.values())}))"
 
 
 def base_places() -> str:
@@ -55,18 +62,19 @@ def scan_licenses(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", r
     empty labels and null places.  Each row, repeated or with a null id, gives one row.
     """
     rules = rules or build_rules()
-    anchors = "array(" + ", ".join(f"'{a}'" for a in sorted({r.anchor for r in rules})) + ")"
+    anchors = "(" + ", ".join(f"'{a}'" for a in sorted({r.anchor for r in rules})) + ")"
     body = F.coalesce(F.col(text), F.lit(""))
     lowered = docs.select(F.col(doc_id).cast("long").alias("doc_id"), body.alias("body"), F.lower(body).alias("low"), F.regexp_count(body, F.lit(WORD)).cast("long").alias("n_words"))
     ascii_low = F.translate("body", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     worded = lowered.select("doc_id", "n_words", F.when(gate(F.col("low")), F.array_remove(F.split(ascii_low, SEPARATORS), "")).otherwise(F.expr("cast(array() as array<string>)")).alias("words"))
-    placed = worded.select("doc_id", "n_words", "words", F.expr(base_places()).alias("base"), F.expr(f"filter(transform(words, (w, i) -> case when array_contains({anchors}, w) then named_struct('at', i, 'word', w, 'window', concat_ws(' ', slice(words, i + 1, {WINDOW}))) end), x -> x is not null)").alias("starts"))
-    tried = f"""flatten(transform(starts, x -> transform(
-        filter({rule_table(rules)}, r -> r.anchor = x.word and contains(x.window, r.keyword) and x.window rlike r.pattern),
-        r -> named_struct('begin', cast(x.at as bigint), 'stop', x.at + regexp_count(regexp_extract(x.window, r.pattern, 0), ' ') + 1L, 'label', r.label, 'priority', r.priority, 'rank', r.rank))))"""
+    placed = worded.select("doc_id", "n_words", F.expr(base_places()).alias("base"), F.expr(f"transform(filter(transform(words, (w, i) -> case when w in {anchors} then i end), i -> i is not null), i -> named_struct('at', i, 'word', words[i], 'window', concat_ws(' ', slice(words, i + 1, {WINDOW}))))").alias("starts"))
+    tried = f"""filter(transform(starts, x -> transform(
+        filter({rule_table(rules)}[x.word], r -> contains(x.window, r.keyword) and x.window rlike r.pattern),
+        r -> named_struct('begin', cast(x.at as bigint), 'stop', x.at + regexp_count(regexp_extract(x.window, r.pattern, 0), ' ') + 1L, 'label', r.label, 'priority', r.priority, 'rank', r.rank))), found -> size(found) > 0)"""
     found = placed.select("doc_id", "n_words", "base", F.expr(f"case when size(starts) > 0 then {tried} else array() end").alias("tried"))
-    kept = """filter(tried, x -> not exists(tried, y -> y.begin <= x.begin and y.stop >= x.stop and
-        (y.priority > x.priority or (y.priority = x.priority and (y.stop - y.begin > x.stop - x.begin or (y.stop - y.begin = x.stop - x.begin and y.rank < x.rank))))))"""
+    kept = f"""flatten(transform(tried, (found, i) -> filter(found, x -> not exists(slice(tried, greatest(i - {WINDOW - 2}, 1), least(i + 1, {WINDOW})), near -> exists(near, y ->
+        y.begin <= x.begin and y.stop >= x.stop and (y.priority > x.priority or (y.priority = x.priority and
+        (y.stop - y.begin > x.stop - x.begin or (y.stop - y.begin = x.stop - x.begin and y.rank < x.rank)))))))))"""
     decided = found.select("doc_id", "n_words", "base", F.expr(kept).alias("matches"))
     base_labels = "array_sort(array_distinct(transform(base, x -> x.label)))"
     return decided.select(
