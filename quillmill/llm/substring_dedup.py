@@ -2,9 +2,13 @@
 
 A gear rolling hash over the last 16 bytes decides chunk ends, so that an insertion moves ends only
 near itself.  Ends fall after white space (or after a multi-byte character of scripts without it),
-hence words stay whole.  Chunks are identified by 128-bit digests; a chunk is a repeat when a
-document with a smaller id, or an earlier place of its own document, has the same one.  Runs of
-adjoining repeats of at least ``min_run`` bytes are cut; a lone common phrase is left alone.
+hence words stay whole.  A chunk is known by its digest and that of the chunk after it, 64 bits each;
+it is a repeat when an earlier document, or an earlier place of its own, has the same chunk followed
+by the same.  So neighbours are cut together only where they repeat as neighbours.  Runs of repeats
+of at least ``min_run`` bytes are cut; a lone common phrase is left alone.
+
+Documents are ordered by id, then by the hash of their text, then by row: of rows that are equal in
+id and text one is the first, the others repeat it whole.
 """
 
 from __future__ import annotations
@@ -18,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillmill.llm.common import NULL_ID, attach, bytes_of, materialize, mix64, small_batches, with_text_key
+from quillmill.llm.common import NULL_ID, attach, bytes_of, discard, materialize, mix64, small_batches, with_text_key
 
 CHUNKS = "h1 long, h2 long, did long, rh long, place long"
 #: Bits of ``place`` below the offset: 12 for the length, one for "seen before in this document".
@@ -82,7 +86,8 @@ def cut_document(start: int, end: int, allowed: list[int], data: bytes, smallest
 
 
 def chunk_batch(texts: list[bytes], table: np.ndarray, spread: int, smallest: int, largest: int):
-    """Document number, offset, length and digest (n x 2 int64) of each chunk of a batch."""
+    """Of each chunk of a batch: document number, offset, length with the chunk after it, and the
+    digests of both (n x 2 int64); the end of a text counts as an empty chunk with digest 0."""
     pad = b"\0" * 16
     joined = b"".join(x for t in texts for x in (t, pad))
     data = np.frombuffer(joined, np.uint8)
@@ -92,17 +97,18 @@ def chunk_batch(texts: list[bytes], table: np.ndarray, spread: int, smallest: in
     lo, hi = np.searchsorted(allowed, starts, "right"), np.searchsorted(allowed, stops, "left")
     allowed = allowed.tolist()
     number, offsets, lengths, digests = [], [], [], []
-    digest = xxhash.xxh3_128_digest
+    digest = xxhash.xxh3_64_intdigest
     for i, (a, b) in enumerate(zip(starts.tolist(), stops.tolist())):
         if a == b:
             continue
         ends = cut_document(a, b, allowed[lo[i] : hi[i]], joined, smallest, largest, possible, hashes)
         begins = [a, *ends[:-1]]
-        digests += [digest(joined[x:y]) for x, y in zip(begins, ends)]
+        own = [digest(joined[x:y]) for x, y in zip(begins, ends)]
+        digests += zip(own, [*own[1:], 0])
         number += [i] * len(ends)
         offsets += [x - a for x in begins]
-        lengths += [y - x for x, y in zip(begins, ends)]
-    return np.array(number, np.int64), np.array(offsets, np.int64), np.array(lengths, np.int64), np.frombuffer(b"".join(digests), "<i8").reshape(-1, 2)
+        lengths += [y - x for x, y in zip(begins, [*ends[1:], ends[-1]])]
+    return np.array(number, np.int64), np.array(offsets, np.int64), np.array(lengths, np.int64), np.array(digests, np.uint64).view(np.int64).reshape(-1, 2)
 
 
 def chunks(keyed: DataFrame, spread: int, smallest: int, largest: int) -> DataFrame:
@@ -126,22 +132,45 @@ def chunks(keyed: DataFrame, spread: int, smallest: int, largest: int) -> DataFr
     return keyed.mapInArrow(run, CHUNKS)
 
 
-def repeated_places(keyed: DataFrame, spread: int, smallest: int, largest: int) -> DataFrame:
-    """``did, rh, places``: each document's chunks that repeat an earlier one."""
+def shared_ids(keyed: DataFrame) -> tuple[DataFrame, DataFrame] | None:
+    """Ids whose rows have several texts (``did``), and rows that are there several times (``did, rh``);
+    None where every id has one row."""
+    often = materialize(keyed.groupBy("did").agg(F.count("*").alias("n"), F.min("rh").alias("a"), F.max("rh").alias("b")).where("n > 1"), "chunk-ids")
+    if often.isEmpty():
+        discard(often)
+        return None
+    several = materialize(often.where("a <> b").select("did"), "chunk-several")
+    keys = keyed.select("did", "rh").join(often.select("did").hint("shuffle_merge"), "did", "left_semi")
+    again = materialize(keys.groupBy("did", "rh").agg(F.count("*").alias("n")).where("n > 1").select("did", "rh"), "chunk-again")
+    discard(often)
+    return several, again
+
+
+def repeated_places(keyed: DataFrame, several: DataFrame | None, spread: int, smallest: int, largest: int) -> DataFrame:
+    """``did, rh, places``: each document's chunks that repeat an earlier one.  A written table."""
     every = chunks(keyed, spread, smallest, largest)
     shared = materialize(every.groupBy("h1", "h2").agg(F.count("*").alias("n"), F.min("did").alias("first_did")).where("n > 1").drop("n"), "chunk-shared")
-    repeats = every.join(shared.hint("shuffle_merge"), ["h1", "h2"]).where("did > first_did or place % 2 = 1")
-    return repeats.groupBy("did", "rh").agg(F.collect_set("place").alias("places"))
+    used = [shared]
+    repeats = every.join(shared.hint("shuffle_merge"), ["h1", "h2"]).where("did > first_did or place % 2 = 1").select("did", "rh", "place")
+    if several is not None and not several.isEmpty():  # documents that share the first id: the smallest hash comes first
+        some = chunks(keyed.join(several.hint("shuffle_merge"), "did", "left_semi"), spread, smallest, largest)
+        tied = materialize(some.where("place % 2 = 0").join(shared.hint("shuffle_merge"), ["h1", "h2"]).where("did = first_did"), "chunk-tied")
+        first = materialize(tied.groupBy("h1", "h2").agg(F.min("rh").alias("first_rh")), "chunk-first")
+        repeats = repeats.union(tied.join(first.hint("shuffle_merge"), ["h1", "h2"]).where("rh > first_rh").select("did", "rh", "place"))
+        used += [tied, first]
+    out = materialize(repeats.groupBy("did", "rh").agg(F.collect_set("place").alias("places")), "chunk-places")
+    discard(*used)
+    return out
 
 
 def runs_of(places: np.ndarray, min_run: int) -> list[tuple[int, int]]:
-    """Maximal runs of adjoining chunks of at least ``min_run`` bytes."""
+    """Maximal runs of at least ``min_run`` bytes of chunks and the ones after them that overlap."""
     if not len(places):
         return []
     places = np.sort(places)
     begin = places >> PLACE_BITS
     end = begin + ((places >> 1) & ((1 << LENGTH_BITS) - 1))
-    breaks = np.flatnonzero(begin[1:] != end[:-1]) + 1
+    breaks = np.flatnonzero(begin[1:] >= end[:-1]) + 1
     first, last = np.append(0, breaks), np.append(breaks, len(places)) - 1
     return [(a, b) for a, b in zip(begin[first].tolist(), end[last].tolist()) if b - a >= min_run]
 
@@ -155,24 +184,44 @@ def cut_spans(text: bytes, spans: list[tuple[int, int]]) -> bytes:
     return b"".join(kept)
 
 
+def noted_rows(docs: DataFrame, doc_id: str, text: str, spread: int, smallest: int, largest: int) -> DataFrame:
+    """``row, places, again``: each row of ``docs`` as a struct, its repeated chunks, and whether an
+    equal row came before it."""
+    keyed = with_text_key(docs, doc_id, text)
+    several, again = shared_ids(keyed) or (None, None)
+    places = repeated_places(keyed, several, spread, smallest, largest)
+    own = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), F.coalesce(F.col(doc_id).cast("long"), F.lit(NULL_ID)).alias("did"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("rh"))
+    once = F.lit(False).alias("again")
+    if again is None or again.isEmpty():
+        return attach(own, places).select("row", "places", once)
+    single = attach(attach(own, again, "left_anti"), places).select("row", "places", once)
+    equal = materialize(attach(own, again, "left_semi").withColumn("at", F.monotonically_increasing_id()), "chunk-equal")
+    first = materialize(equal.groupBy("did", "rh").agg(F.min("at").alias("first_at")), "chunk-first-row")
+    return single.union(attach(attach(equal, first, "inner"), places).select("row", "places", (F.col("at") > F.col("first_at")).alias("again")))
+
+
+def spans_to_cut(size: int, places: list[int] | None, again: bool, min_run: int) -> list[tuple[int, int]]:
+    """Spans of a text of ``size`` bytes; a row that repeats an equal one goes whole if long enough."""
+    if again:
+        return [(0, size)] if size >= min_run else []
+    return runs_of(np.array(places or [], np.int64), min_run)
+
+
 def dedup_substrings(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_run: int = 96, spread: int = 2, smallest: int = 16, largest: int = 160) -> DataFrame:
     """``doc_id, text, n_bytes, n_removed, n_spans, kept_sha256`` of each row, repeats cut out.
 
-    ``text`` is what is left.  The first copy of a passage, in order of id, then place, stays whole.
-    A null text counts as empty and stays null.  Rows that share id and text count as one document
-    and are treated alike; rows with a null id count as documents with the smallest id.  An empty
-    table gives an empty result.
+    ``text`` is what is left.  The first copy of a passage, in order of id, text hash, row and place,
+    stays whole.  A null text counts as empty and stays null.  Rows with a null id come first, among
+    themselves in order of the text hash.  An empty table gives an empty result.
     """
-    keyed = with_text_key(docs, doc_id, text)
-    places = materialize(repeated_places(keyed, spread, smallest, largest), "chunk-places")
-    own = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).isNull().alias("no_text"), F.coalesce(F.col(doc_id).cast("long"), F.lit(NULL_ID)).alias("did"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("rh"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    joined = attach(own, places).select("doc_id", "no_text", "text", "places")
+    noted = noted_rows(docs, doc_id, text, spread, smallest, largest)
+    joined = noted.select(F.col("row")[doc_id].cast("long").alias("doc_id"), F.col("row")[text].isNull().alias("no_text"), F.coalesce(F.col("row")[text], F.lit("")).alias("text"), "places", "again")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches):
             out = []
-            for d, gone, t, p in zip(batch.column("doc_id").to_pylist(), batch.column("no_text").to_pylist(), bytes_of(batch.column("text")), batch.column("places").to_pylist()):
-                spans = runs_of(np.array(p or [], np.int64), min_run)
+            for d, gone, t, p, again in zip(batch.column("doc_id").to_pylist(), batch.column("no_text").to_pylist(), bytes_of(batch.column("text")), batch.column("places").to_pylist(), batch.column("again").to_pylist()):
+                spans = spans_to_cut(len(t), p, again, min_run)
                 kept = cut_spans(t, spans)
                 out.append((d, None if gone else kept.decode(), len(t), len(t) - len(kept), len(spans), hashlib.sha256(kept).hexdigest()))
             columns = list(zip(*out))
@@ -187,20 +236,24 @@ def cut_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n_c
 
     Every row stays; a text that is all repeats becomes empty, a null text stays null.
     """
-    places = materialize(repeated_places(with_text_key(docs, doc_id, text), spread, smallest, largest), "chunk-places")
     names, kinds = docs.columns, docs.schema
-    own = docs.select(F.struct(*[F.col(c) for c in names]).alias("row"), F.coalesce(F.col(doc_id).cast("long"), F.lit(NULL_ID)).alias("did"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("rh"))
-    joined = attach(own, places).select("row.*", F.col("places").alias("repeat_places"))
+    joined = noted_rows(docs, doc_id, text, spread, smallest, largest).select(*[F.col("row")[c].alias(c) for c in names], F.col("places").alias("repeat_places"), F.col("again").alias("repeat_row"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches, text):
-            where = batch.column(batch.num_columns - 1).to_pylist()
-            kept = [t if t is None or not p else cut_spans(t.encode(), runs_of(np.array(p, np.int64), min_run)).decode() for t, p in zip(batch.column(names.index(text)).to_pylist(), where)]
+            places, again = (batch.column(len(names) + k).to_pylist() for k in (0, 1))
+            texts = batch.column(names.index(text)).to_pylist()
+            kept, changed = list(texts), [False] * len(texts)
+            for i, t in enumerate(texts):
+                if t is not None and (places[i] or again[i]):
+                    data = t.encode()
+                    kept[i] = cut_spans(data, spans_to_cut(len(data), places[i], again[i], min_run)).decode()
+                    changed[i] = len(kept[i]) < len(t)
             columns = [batch.column(k) for k in range(len(names))]
             columns[names.index(text)] = pa.array(kept, columns[names.index(text)].type)
             if n_chars in names:
                 at = names.index(n_chars)
-                columns[at] = pa.array([old if not p else len(t) for old, t, p in zip(columns[at].to_pylist(), kept, where)], columns[at].type)
+                columns[at] = pa.array([len(t) if c else old for old, t, c in zip(columns[at].to_pylist(), kept, changed)], columns[at].type)
             yield pa.RecordBatch.from_arrays(columns, names)
 
     return joined.mapInArrow(run, kinds)
