@@ -5,7 +5,9 @@ The exact answer over all documents is reached in three steps.
 1. Anchors.  Each window of ``length`` bytes is assigned to the minimizer (smallest hash, leftmost)
    among its ``gram``-byte strings.  Equal windows choose equal minimizers at equal offsets, so a
    window can only repeat within its anchor's hash.  Successive windows share an anchor: a document
-   has about ``2 / (length - gram)`` anchors a byte, each with a range of window starts.
+   has about ``2 / (length - gram)`` anchors a byte, each with a range of window starts.  The anchors
+   of shorter windows (``short`` bytes), of which the former are some, are noted along: one that also
+   stands elsewhere tells of a repeat that is too short to be removed.
 2. Ranges.  A range whose whole extent (first start to last end) occurs twice by a 128-bit digest
    is repeated in all its windows; the inside of every copied passage is settled so, without pairs.
 3. Suffix array.  What is left are ranges at the rims of passages.  Their extents are laid out
@@ -27,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillmill.llm.common import NULL_ID, attach, bytes_of, materialize, mix64, small_batches, with_text_key
+from quillmill.llm.common import NULL_ID, attach, bytes_of, discard, materialize, mix64, small_batches, with_text_key
 from quillmill.llm.substring_dedup import cut_spans
 
 ANCHORS = "kh long, e1 long, e2 long, did long, rh long, place long"
@@ -61,34 +63,39 @@ def window_minima(values: np.ndarray, width: int) -> np.ndarray:
 class AnchorFinder:
     """Anchors and start ranges of the windows of a buffer."""
 
-    def __init__(self, length: int, gram: int):
-        self.length, self.gram = length, gram
+    def __init__(self, length: int, gram: int, short: int):
+        self.length, self.gram, self.short = length, gram, short
         self.up, self.down = powers(0)
 
-    def anchors(self, data: np.ndarray) -> np.ndarray:
-        """For each window start of ``data``, the index of its anchor."""
+    def ranked(self, data: np.ndarray) -> np.ndarray:
+        """Mixed hash of the gram at each position, its last 24 bits the position itself."""
         n = len(data)
         if len(self.up) <= n:
             self.up, self.down = powers(n)
         with np.errstate(over="ignore"):
             sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum((data.astype(np.uint64) + np.uint64(1)) * self.down[:n])])
             grams = (sums[self.gram :] - sums[: -self.gram]) * self.up[: n - self.gram + 1]
-        ranked = (mix64(grams) & np.uint64(MASK ^ 0xFFFFFF)) | np.arange(len(grams), dtype=np.uint64)
-        return (window_minima(ranked, self.length - self.gram + 1) & np.uint64(0xFFFFFF)).astype(np.int64)
+        return (mix64(grams) & np.uint64(MASK ^ 0xFFFFFF)) | np.arange(len(grams), dtype=np.uint64)
 
-    def sections(self, texts: list[bytes]) -> Iterator[tuple[np.ndarray, bytes, list[tuple[int, int, int, int]]]]:
-        """Buffers below ``SECTION`` bytes with their parts: document, offset in it, begin, end."""
+    def anchors(self, ranked: np.ndarray, window: int) -> np.ndarray:
+        """For each start of a window of so many bytes, the position of its anchor."""
+        return (window_minima(ranked, window - self.gram + 1) & np.uint64(0xFFFFFF)).astype(np.int64)
+
+    def sections(self, texts: list[bytes]) -> Iterator[tuple[np.ndarray, bytes, list[tuple[int, int, int, int, bool]]]]:
+        """Buffers below ``SECTION`` bytes with their parts: document, offset in it, begin, end, whether
+        it is the document's last part."""
         parts, held, size = [], [], 0
         for i, t in enumerate(texts):
-            for at in range(0, max(1, len(t) - self.length + 1), SECTION - self.length + 1):
+            if len(t) < self.short:
+                continue
+            step = SECTION - self.length + 1
+            for at in range(0, max(1, len(t) - self.length + 1), step):
                 piece = t[at : at + SECTION]
-                if len(piece) < self.length:
-                    continue
                 if size + len(piece) > SECTION and parts:
                     joined = b"".join(held)
                     yield np.frombuffer(joined, np.uint8), joined, parts
                     parts, held, size = [], [], 0
-                parts.append((i, at, size, size + len(piece)))
+                parts.append((i, at, size, size + len(piece), at + SECTION >= len(t)))
                 held.append(piece)
                 size += len(piece)
         if parts:
@@ -96,29 +103,48 @@ class AnchorFinder:
             yield np.frombuffer(joined, np.uint8), joined, parts
 
     def ranges(self, texts: list[bytes]):
-        """Of each range: document, first start, number of starts, anchor hash, extent digest."""
+        """Of each anchor: document, first start, number of starts, anchor hash, extent digest.
+
+        An anchor of short windows only has its own position, no starts, and no digest.
+        """
         gram_hash, digest = xxhash.xxh3_64_intdigest, xxhash.xxh3_128_digest
         number, first, count, keys, digests = [], [], [], [], []
         for data, joined, parts in self.sections(texts):
-            anchors = self.anchors(data)
-            for i, at, begin, end in parts:
-                own = anchors[begin : end - self.length + 1]
-                change = np.flatnonzero(own[1:] != own[:-1]) + 1
-                starts = np.concatenate([[0], change])
-                stops = np.concatenate([change, [len(own)]])
-                at_anchor = own[starts].tolist()
-                for p, a, b in zip(at_anchor, (starts + begin).tolist(), (stops + begin).tolist()):
-                    keys.append(gram_hash(joined[p : p + self.gram]))
-                    digests.append(digest(joined[a : b - 1 + self.length]))
-                number += [i] * len(at_anchor)
-                first += (starts + at).tolist()
-                count += (stops - starts).tolist()
-        return np.array(number, np.int64), np.array(first, np.int64), np.array(count, np.int64), np.array(keys, np.uint64).view(np.int64), np.frombuffer(b"".join(digests), "<i8").reshape(-1, 2)
-
-
-def anchor_rows(keyed: DataFrame, length: int, gram: int) -> DataFrame:
+            ranked = self.ranked(data)
+            long, small = self.anchors(ranked, self.length) if len(data) >= self.length else None, self.anchors(ranked, self.short)
+            for i, at, begin, end, last in parts:
+                places = distinct_runs(small[begin : (end - self.short if last else end - self.length) + 1])[0]
+                starts, counts, where = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+                if end - begin >= self.length:
+                    of, starts, counts = distinct_runs(long[begin : end - self.length + 1])
+                    places = np.union1d(places, of)  # at the end of a part that is not the last
+                    where = np.searchsorted(places, of)
+                own_first, own_count = places - begin + at, np.zeros(len(places), np.int64)
+                own_first[where], own_count[where] = starts + at, counts
+                own = np.zeros((len(places), 2), np.int64)
+                if len(where):
+                    begins = (starts + begin).tolist()
+                    own[where] = np.frombuffer(b"".join([digest(joined[a : a + n - 1 + self.length]) for a, n in zip(begins, counts.tolist())]), "<i8").reshape(-1, 2)
+                keys += [gram_hash(joined[p : p + self.gram]) for p in places.tolist()]
+                number.append(np.full(len(places), i))
+                first.append(own_first)
+                count.append(own_count)
+                digests.append(own)
+        if not number:
+            return (np.zeros(0, np.int64),) * 4 + (np.zeros((0, 2), np.int64),)
+        return np.concatenate(number), np.concatenate(first), np.concatenate(count), np.array(keys, np.uint64).view(np.int64), np.concatenate(digests)
+
+
+def distinct_runs(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Value, start and length of each run of equal neighbours."""
+    change = np.flatnonzero(values[1:] != values[:-1]) + 1
+    starts = np.concatenate([[0], change]) if len(values) else np.zeros(0, np.int64)
+    return values[starts], starts, np.diff(np.append(starts, len(values)))
+
+
+def anchor_rows(keyed: DataFrame, length: int, gram: int, short: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        finder = AnchorFinder(length, gram)
+        finder = AnchorFinder(length, gram, short)
         for batch in small_batches(batches, limit=2_000_000):
             number, first, count, keys, digests = finder.ranges(bytes_of(batch.column("text")))
             if not len(number):
@@ -127,7 +153,7 @@ def anchor_rows(keyed: DataFrame, length: int, gram: int) -> DataFrame:
             columns = (keys, np.ascontiguousarray(digests[:, 0]), np.ascontiguousarray(digests[:, 1]), did, rh, (first << COUNT_BITS) | count)
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["kh", "e1", "e2", "did", "rh", "place"])
 
-    return keyed.where(F.octet_length("text") >= length).mapInArrow(run, ANCHORS)
+    return keyed.where(F.octet_length("text") >= short).mapInArrow(run, ANCHORS)
 
 
 def refine_buckets(data: np.ndarray, depth: int, q: int = 8) -> np.ndarray:
@@ -229,8 +255,9 @@ def settle_slabs(length: int, slab_bytes: int):
     return run
 
 
-def contexts(keyed: DataFrame, needed: DataFrame, length: int) -> DataFrame:
-    """``kh, did, rh, place, weight, context``: the bytes of each needed range's extent."""
+def contexts(keyed: DataFrame, needed: DataFrame, length: int) -> tuple[DataFrame, DataFrame]:
+    """``kh, did, rh, place, weight, context``: the bytes of each needed range's extent; and the
+    written table that they are read by."""
     per_document = materialize(needed.groupBy("did", "rh").agg(F.collect_list(F.struct("kh", "place", "weight")).alias("ranges")), "suffix-needed")
     joined = attach(keyed, per_document, "inner")
 
@@ -244,7 +271,7 @@ def contexts(keyed: DataFrame, needed: DataFrame, length: int) -> DataFrame:
             columns = list(zip(*out))
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, [pa.int64()] * 5 + [pa.binary()])], ["kh", "did", "rh", "place", "weight", "context"])
 
-    return joined.select("did", "rh", "text", "ranges").mapInArrow(run, "kh long, did long, rh long, place long, weight long, context binary")
+    return joined.select("did", "rh", "text", "ranges").mapInArrow(run, "kh long, did long, rh long, place long, weight long, context binary"), per_document
 
 
 def window_digests(length: int):
@@ -265,25 +292,36 @@ def window_digests(length: int):
     return run
 
 
-def removed_spans(keyed: DataFrame, length: int, gram: int, slab_bytes: int, slab_ranges: int) -> DataFrame:
-    """``did, rh, spans``: byte spans (``begin``, ``stop``) to remove, not yet merged."""
-    every = anchor_rows(keyed, length, gram)
+def removed_spans(keyed: DataFrame, length: int, gram: int, short: int, slab_bytes: int, slab_ranges: int) -> DataFrame:
+    """``did, rh, spans, n_repeats``: byte spans (``begin``, ``stop``) to remove, not yet merged, and the
+    number of anchors that also stand elsewhere.  A written table."""
+    every = anchor_rows(keyed, length, gram, short)
     shared = materialize(every.groupBy("kh").agg(F.count("*").alias("n")).where("n > 1").select("kh"), "suffix-shared")
     hits = materialize(every.join(shared.hint("shuffle_merge"), "kh"), "suffix-anchors")
-    classes = materialize(hits.groupBy("kh", "e1", "e2").agg(F.count("*").alias("weight"), F.min(F.struct("did", "rh", "place")).alias("one")), "suffix-classes")
+    discard(shared)
+    starts = F.col("place").bitwiseAND((1 << COUNT_BITS) - 1)
+    ranges = hits.where(starts > 0)
+    classes = materialize(ranges.groupBy("kh", "e1", "e2").agg(F.count("*").alias("weight"), F.min(F.struct("did", "rh", "place")).alias("one")), "suffix-classes")
     repeated = classes.where("weight > 1").select("kh", "e1", "e2")
-    inside = hits.join(repeated.hint("shuffle_merge"), ["kh", "e1", "e2"]).select("did", "rh", F.shiftright("place", COUNT_BITS).alias("begin"), (F.shiftright("place", COUNT_BITS) + F.col("place").bitwiseAND((1 << COUNT_BITS) - 1) - 1 + length).alias("stop"))
-    groups = classes.groupBy("kh").agg(F.count("*").alias("ranges"), F.min("weight").alias("least")).where("ranges > 1 and least = 1")
-    needed = classes.join(groups.hint("shuffle_merge"), "kh").select("kh", "one.*", "weight", "ranges")
-    rims = contexts(keyed, needed.where(F.col("ranges") <= slab_ranges), length)
+    inside = ranges.join(repeated.hint("shuffle_merge"), ["kh", "e1", "e2"]).select("did", "rh", F.shiftright("place", COUNT_BITS).alias("begin"), (F.shiftright("place", COUNT_BITS) + starts - 1 + length).alias("stop"))
+    groups = materialize(classes.groupBy("kh").agg(F.count("*").alias("ranges"), F.min("weight").alias("least")).where("ranges > 1 and least = 1").select("kh", "ranges"), "suffix-groups")
+    needed = materialize(classes.join(groups.hint("shuffle_merge"), "kh").select("kh", "one.*", "weight", "ranges"), "suffix-rims")
+    rims, read = contexts(keyed, needed.where(F.col("ranges") <= slab_ranges), length)
+    used = [hits, classes, groups, needed, read]
     settled = rims.repartition("kh").sortWithinPartitions("kh").mapInArrow(settle_slabs(length, slab_bytes), "did long, rh long, begin long, stop long")
     spans = inside.union(settled)
     large = needed.where(F.col("ranges") > slab_ranges)
     if not large.isEmpty():
-        windows = materialize(contexts(keyed, large, length).dropDuplicates(["kh", "did", "rh", "place"]).mapInArrow(window_digests(length), "w1 long, w2 long, did long, rh long, begin long, weight long"), "suffix-windows")
-        twice = windows.groupBy("w1", "w2").agg(F.sum("weight").alias("n")).where("n > 1").select("w1", "w2")
+        extents, read = contexts(keyed, large, length)
+        windows = materialize(extents.dropDuplicates(["kh", "did", "rh", "place"]).mapInArrow(window_digests(length), "w1 long, w2 long, did long, rh long, begin long, weight long"), "suffix-windows")
+        twice = materialize(windows.groupBy("w1", "w2").agg(F.sum("weight").alias("n")).where("n > 1").select("w1", "w2"), "suffix-twice")
         spans = spans.union(windows.where("weight = 1").join(twice.hint("shuffle_merge"), ["w1", "w2"]).select("did", "rh", "begin", (F.col("begin") + length).alias("stop")))
-    return spans.groupBy("did", "rh").agg(F.collect_set(F.struct("begin", "stop")).alias("spans"))
+        used += [read, windows, twice]
+    by_document = spans.groupBy("did", "rh").agg(F.collect_set(F.struct("begin", "stop")).alias("spans"))
+    met = hits.groupBy("did", "rh").agg(F.count("*").alias("n_repeats"))
+    out = materialize(met.join(by_document, ["did", "rh"], "left"), "suffix-spans")
+    discard(*used)
+    return out
 
 
 def merge_spans(spans) -> list[tuple[int, int]]:
@@ -297,19 +335,25 @@ def merge_spans(spans) -> list[tuple[int, int]]:
     return [(a, b) for a, b in out]
 
 
-def dedup_suffixes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = 400, gram: int | None = None, slab_bytes: int = 2_000_000, slab_ranges: int = 4096) -> DataFrame:
-    """``doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept`` of each row.
+def dedup_suffixes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = 400, short: int | None = None, gram: int | None = None, slab_bytes: int = 2_000_000, slab_ranges: int = 4096) -> DataFrame:
+    """``doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept, n_repeats`` of each row.
 
     ``kept`` holds the remaining bytes (a cut may fall inside a character, so it is binary).  A null
     or empty text has nothing to remove.  A repeated row is a document of its own: both rows lose
     what they share.  Rows with a null id take part like any others.  An empty table gives an empty
     result.
+
+    ``n_repeats`` tells of repeats below ``length``, which are not removed: it counts the text's
+    anchors (strings of ``gram`` bytes, half of ``short``) that also stand elsewhere.  Every string of
+    ``short`` bytes (by default seven tenths of ``length``) that also starts elsewhere has one, and no
+    string repeated for less than ``gram`` bytes does.  Rows that are equal count each other's.
     """
-    gram = gram or max(1, length // 2)
+    short = short or max(1, 7 * length // 10)
+    gram = gram or max(1, short // 2)
     keyed = with_text_key(docs, doc_id, text)
-    spans = materialize(removed_spans(keyed, length, gram, slab_bytes, slab_ranges), "suffix-spans")
+    notes = removed_spans(keyed, length, gram, short, slab_bytes, slab_ranges)
     own = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(doc_id).cast("long"), F.lit(NULL_ID)).alias("did"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("rh"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    joined = attach(own, spans).select("doc_id", "text", "spans")
+    joined = attach(own, notes).select("doc_id", "text", "spans", F.coalesce("n_repeats", F.lit(0)).cast("long").alias("n_repeats"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches):
@@ -320,6 +364,6 @@ def dedup_suffixes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                 out.append((d, len(t), len(t) - len(kept), len(merged), hashlib.sha256(kept).hexdigest(), kept))
             columns = list(zip(*out))
             kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
+            yield pa.RecordBatch.from_arrays([*(pa.array(c, k) for c, k in zip(columns, kinds)), batch.column("n_repeats")], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept", "n_repeats"])
 
-    return joined.mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
+    return joined.mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary, n_repeats long")
