@@ -11,17 +11,17 @@ distinct grams of a batch are joined to their log probabilities and meet the bat
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillmill.llm.common import bytes_of, discard, materialize, small_batches
+from quillmill.llm.common import bytes_of, discard, materialize, slices, small_batches
 
 DEPTH = 5
 #: Marks the begin (as context) and the end (as symbol) of a text; no UTF-8 text holds it.
@@ -127,22 +127,23 @@ def lay_out(source: DataFrame, limit: int = 24_000_000, step: int = 3_000_000) -
     return source.mapInArrow(run, LAID)
 
 
-def count_tokens(training: DataFrame) -> DataFrame:
-    """``token, c`` over the words of training texts, with map-side combining in the worker too."""
+def split_words(texts: pa.ChunkedArray) -> pa.ChunkedArray:
+    """Words of lower-cased texts; Arrow's ASCII white space is just that of the words' definition.
+
+    White space at an end leaves an empty word.
+    """
+    return pc.ascii_split_whitespace(pc.ascii_lower(texts.cast(pa.string())))
+
 
-    def flush(held: Counter) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(list(held), pa.binary()), pa.array(list(held.values()), pa.int64())], ["token", "n"])
+def count_tokens(training: DataFrame) -> DataFrame:
+    """``token, c`` over the words of training texts, combined in the worker too."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: Counter = Counter()
-        for batch in small_batches(batches, limit=2_000_000):
-            for t in bytes_of(batch.column("text")):
-                held.update(t.lower().split())
-            if len(held) > 200_000:
-                yield flush(held)
-                held = Counter()
-        if held:
-            yield flush(held)
+        for table in gathered(batches, 8_000_000):
+            counted = pc.list_flatten(split_words(pc.fill_null(table.column("text"), ""))).value_counts()
+            tokens, counts = counted.field("values"), counted.field("counts")
+            real = pc.not_equal(tokens, "")
+            yield pa.RecordBatch.from_arrays([tokens.filter(real).cast(pa.binary()), counts.filter(real)], ["token", "n"])
 
     return training.select("text").mapInArrow(run, "token binary, n long").groupBy("token").agg(F.sum("n").alias("c"))
 
@@ -396,22 +397,45 @@ def gram_logs(grams: DataFrame) -> DataFrame:
     return mixed.where(F.col("key").isNotNull()).select("key", *BITS).mapInArrow(run, "key long, log_p double")
 
 
-def gram_scores(texts: list[bytes], keys: np.ndarray, logs: np.ndarray, step: int = 3_000_000) -> np.ndarray:
+def gram_scores(texts: list[bytes], keys: pa.Array, logs: np.ndarray, step: int = 6_000_000) -> np.ndarray:
     """Log10 probability of each text and its end, from those of all grams that occur."""
-    order = np.argsort(keys)
-    keys, logs = keys[order], logs[order]
     part = np.cumsum([len(t) for t in texts]) // step
     out = np.empty(len(texts))
     for which in np.split(np.arange(len(texts)), np.flatnonzero(np.diff(part)) + 1):
         data, firsts, ends = laid_out(texts[which[0] : which[-1] + 1])
         found, symbol = gram_keys(data, firsts)
         steps = np.zeros(len(data))
-        steps[DEPTH:][symbol] = logs[np.searchsorted(keys, found[symbol])]
+        at = pc.index_in(pa.array(found[symbol]), value_set=keys).to_numpy(zero_copy_only=False)
+        steps[DEPTH:][symbol] = logs[at]
         sums = np.concatenate([[0.0], np.cumsum(steps)])
         out[which] = sums[ends + 1] - sums[firsts]
     return out
 
 
+def word_scores(texts: pa.ChunkedArray, logs: dict[bytes, float], step: int = 4_000_000) -> list[pa.Array]:
+    """Of each lower-cased text: words, words in ``logs``, the sum of their logs, and the other words
+    with their numbers."""
+    sizes = pc.binary_length(texts).to_numpy()
+    out: list[tuple] = []
+    for which in np.split(np.arange(len(sizes)), np.flatnonzero(np.diff(np.cumsum(sizes) // step)) + 1):
+        lists = split_words(texts.slice(which[0], len(which))).combine_chunks()
+        coded = lists.flatten().dictionary_encode()
+        names = slices(coded.dictionary)
+        values = np.array([logs.get(w, np.nan) for w in names] or [np.nan])
+        at, n = coded.indices.to_numpy(zero_copy_only=False), len(which)
+        owner = np.repeat(np.arange(n), pc.list_value_length(lists).to_numpy(zero_copy_only=False))
+        real = at != (names.index(b"") if b"" in names else -1)
+        at, owner = at[real], owner[real]
+        found = ~np.isnan(values[at])
+        pairs, counts = np.unique(owner[~found] * len(values) + at[~found], return_counts=True)
+        tokens = coded.dictionary.take(pa.array(pairs % len(values))).cast(pa.binary())
+        ends = np.searchsorted(pairs // len(values), np.arange(n + 1)).astype(np.int32)
+        rare = pa.ListArray.from_arrays(pa.array(ends), pa.StructArray.from_arrays([tokens, pa.array(counts, pa.int32())], ["token", "n"]))
+        out.append((np.bincount(owner, minlength=n), np.bincount(owner[found], minlength=n), np.bincount(owner[found], values[at[found]], n), rare))
+    columns = list(zip(*out))
+    return [*(pa.array(np.concatenate(c)) for c in columns[:3]), pa.chunked_array(columns[3])]
+
+
 class FrequentWords:
     """Log10 of the smoothed count of frequent tokens; a worker builds the table once."""
 
@@ -471,20 +495,10 @@ def score_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     kind = "row long, doc_id long, held_out boolean, n_tokens long, n_known long, part double, score double, n_bytes long, rare array<struct<token: binary, n: int>>"
 
     def run(part: pa.Table, found: pa.Table) -> pa.Table:
-        logs = shared.value.logs()
-        rare_type = pa.list_(pa.struct([("token", pa.binary()), ("n", pa.int32())]))
-        texts = part.column("text").to_pylist()
-        scores = gram_scores(texts, found.column("key").to_numpy(), found.column("log_p").to_numpy())
-        n_tokens, n_known, parts, rare = [], [], [], []
-        for t in texts:
-            split = t.split()
-            known = [logs[w] for w in split if w in logs]
-            missed = Counter(w for w in split if w not in logs) if len(known) < len(split) else {}
-            n_tokens.append(len(split) + 1)
-            n_known.append(len(known) + (trained > 0))
-            parts.append(sum(known) + log_end)
-            rare.append([{"token": w, "n": k} for w, k in missed.items()])
-        columns = [part.column("row"), part.column("doc_id"), part.column("held_out"), pa.array(n_tokens, pa.int64()), pa.array(n_known, pa.int64()), pa.array(parts, pa.float64()), pa.array(scores), pa.array([len(t) for t in texts], pa.int64()), pa.array(rare, rare_type)]
+        texts = part.column("text")
+        scores = gram_scores(texts.to_pylist(), found.column("key").combine_chunks(), found.column("log_p").to_numpy())
+        n_words, n_met, sums, rare = word_scores(texts, shared.value.logs())
+        columns = [part.column("row"), part.column("doc_id"), part.column("held_out"), pc.add(n_words, 1), pc.add(n_met, int(trained > 0)), pc.add(sums, log_end), pa.array(scores), pc.cast(pc.binary_length(texts), pa.int64()), rare]
         return pa.Table.from_arrays(columns, ["row", "doc_id", "held_out", "n_tokens", "n_known", "part", "score", "n_bytes", "rare"])
 
     found = grams.select("batch", "key").join(gram_logs(grams.select("key", "n")).hint("shuffle_merge"), "key").select(F.col("batch").alias("of"), "key", "log_p")
