@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+import gc
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -112,6 +114,45 @@ class BoundedCache:
         self.size += self.ENTRY + len(key) + (len(value) if isinstance(value, bytes) else 0)
 
 
+_held: dict[str, object] = {}
+
+
+def held(name: str, make: Callable[[], object]):
+    """What a worker keeps for the next task of the same operator, such as a tokenizer and its cache."""
+    if name not in _held:
+        _held[name] = make()
+    return _held[name]
+
+
+def let_go(keeps: str | None) -> None:
+    """Drop what operators other than ``keeps`` hold in this worker."""
+    for name in [x for x in _held if x != keeps]:
+        del _held[name]
+
+
+def give_back() -> None:
+    """Return this worker's free memory to the system."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def tidied(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], keeps: str | None = None):
+    """``run`` for ``mapInArrow`` in workers that Spark reuses: what other operators hold is let go
+    before, and memory that is free goes back to the system after."""
+
+    def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go(keeps)
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return mapped
+
+
 def with_text_key(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``did, rh, text``: never-null keys of a document.  Null ids share the smallest long."""
     return docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(NULL_ID)).alias("did"), row_key(doc_id, text).alias("rh"), F.coalesce(F.col(text), F.lit("")).alias("text"))

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillmill.llm.common import discard, materialize
+from quillmill.llm.common import discard, materialize, tidied
 from quillmill.llm.components import connected_components
 
 PLACED = "node long, weight long, label long, dim int, home int, cell int, visits array<int>, vector binary, code binary, factor double"
@@ -121,7 +121,7 @@ def place(classes: DataFrame, pivots: dict[tuple[int, int], np.ndarray], margin:
             columns = list(zip(*out)) if out else [[]] * 10
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], [x.split()[0] for x in PLACED.split(", ")])
 
-    return classes.select("node", "weight", "label", "dim", "vector").mapInArrow(run, PLACED)
+    return classes.select("node", "weight", "label", "dim", "vector").mapInArrow(tidied(run), PLACED)
 
 
 class Ties:
@@ -235,7 +235,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.93, cell_rows: int
     tasks = F.expr("""transform(sequence(0, parts - 1), k -> case when home = cell then concat_ws('/', label, dim, cell, least(part, k), greatest(part, k))
         else concat_ws('/', label, dim, cell, k, k) end)""")
     sent = dealt.withColumn("task", F.explode(tasks)).drop("label", "parts")
-    found = materialize(sent.repartition("task").sortWithinPartitions("task").mapInArrow(solve_tasks(threshold, epsilon), "node long, links long, tied_to long"), "vector-links")
+    found = materialize(sent.repartition("task").sortWithinPartitions("task").mapInArrow(tidied(solve_tasks(threshold, epsilon)), "node long, links long, tied_to long"), "vector-links")
     counts = materialize(found.groupBy("node").agg(F.sum("links").alias("links")), "vector-counts")
     joined = connected_components(found.where("node <> tied_to").select("node", "tied_to"))
     facts = materialize(named.join(joined.hint("shuffle_merge"), "node", "left").join(counts.hint("shuffle_merge"), "node", "left").select("k1", "k2", "least", F.coalesce("component", "node").alias("component"), (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n_links")), "vector-facts")

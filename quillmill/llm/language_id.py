@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillmill.llm.common import discard, materialize, mix64, small_batches, texts_of
+from quillmill.llm.common import discard, materialize, mix64, small_batches, texts_of, tidied
 
 SCHEMA = "doc_id long, held_out boolean, lang_pred string, score double, accepted boolean"
 UNDETERMINED = "und"
@@ -232,11 +232,12 @@ def predict(docs: DataFrame, model: LanguageModel) -> DataFrame:
             names = [m.languages[i] if k else UNDETERMINED for i, k in zip(best.tolist(), known.tolist())]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("held_out"), pa.array(names, pa.string()), pa.array(np.where(known, sure, 0.0)), pa.array(known & accepted)], ["doc_id", "held_out", "lang_pred", "score", "accepted"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), is_held_out().alias("held_out"), F.col("text").alias("text")).mapInArrow(run, SCHEMA)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), is_held_out().alias("held_out"), F.col("text").alias("text")).mapInArrow(tidied(run), SCHEMA)
 
 
 def filter_languages(docs: DataFrame, model: LanguageModel) -> DataFrame:
-    """Rows of ``docs``, with all their columns, whose language prediction is accepted."""
+    """Rows of ``docs``, with all their columns, whose language prediction is accepted.  A written table,
+    so that the Arrow batches of whole rows are bounded."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     buckets, names = len(model.embedding), docs.columns
 
@@ -250,4 +251,4 @@ def filter_languages(docs: DataFrame, model: LanguageModel) -> DataFrame:
             known = np.array([letter(t) is not None for t in texts]) & bool(m.languages)
             yield batch.filter(pa.array(known & m.judge(mean_logits(texts, table, buckets))[2]))
 
-    return docs.select(*names).mapInArrow(run, docs.schema)
+    return materialize(docs.select(*names).mapInArrow(tidied(run), docs.schema), "accepted")

@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillmill.llm.common import bytes_of, discard, materialize, slices, small_batches
+from quillmill.llm.common import bytes_of, discard, materialize, slices, small_batches, tidied
 
 DEPTH = 5
 #: Marks the begin (as context) and the end (as symbol) of a text; no UTF-8 text holds it.
@@ -124,7 +124,7 @@ def lay_out(source: DataFrame, limit: int = 24_000_000, step: int = 3_000_000) -
         if parts:
             yield grams(batch, parts)
 
-    return source.mapInArrow(run, LAID)
+    return source.mapInArrow(tidied(run), LAID)
 
 
 def split_words(texts: pa.ChunkedArray) -> pa.ChunkedArray:
@@ -145,7 +145,7 @@ def count_tokens(training: DataFrame) -> DataFrame:
             real = pc.not_equal(tokens, "")
             yield pa.RecordBatch.from_arrays([tokens.filter(real).cast(pa.binary()), counts.filter(real)], ["token", "n"])
 
-    return training.select("text").mapInArrow(run, "token binary, n long").groupBy("token").agg(F.sum("n").alias("c"))
+    return training.select("text").mapInArrow(tidied(run), "token binary, n long").groupBy("token").agg(F.sum("n").alias("c"))
 
 
 def most_frequent(counted: DataFrame, count: str, bound: int) -> DataFrame:
@@ -349,7 +349,7 @@ def mix_long_contexts(grams: DataFrame) -> DataFrame:
 
     near = F.shiftright("key", 8).bitwiseAND(F.lit((1 << 8 * (TOP + 1)) - 1))
     dealt = grams.select("key", "n", near.alias("near")).repartition("near")
-    return dealt.groupBy("near", "key").agg(F.sum("n").alias("n")).sortWithinPartitions("near").mapInArrow(run, MIXED)
+    return dealt.groupBy("near", "key").agg(F.sum("n").alias("n")).sortWithinPartitions("near").mapInArrow(tidied(run), MIXED)
 
 
 class ShortContexts:
@@ -394,7 +394,7 @@ def gram_logs(grams: DataFrame) -> DataFrame:
             logs = shared.value.log_p(keys, [batch.column(q).to_numpy() for q in BITS])
             yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(logs, pa.float64())], ["key", "log_p"])
 
-    return mixed.where(F.col("key").isNotNull()).select("key", *BITS).mapInArrow(run, "key long, log_p double")
+    return mixed.where(F.col("key").isNotNull()).select("key", *BITS).mapInArrow(tidied(run), "key long, log_p double")
 
 
 def gram_scores(texts: list[bytes], keys: pa.Array, logs: np.ndarray, step: int = 6_000_000) -> np.ndarray:

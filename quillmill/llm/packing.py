@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillmill.llm.common import NULL_ID, BoundedCache, slices, small_batches
+from quillmill.llm.common import NULL_ID, BoundedCache, held, slices, small_batches, tidied
 from quillmill.llm.token_counts import load_tokenizer
 
 #: Fixed value: the word-end BPE pre-tokenizer's published pattern, for text that is lower-cased.
@@ -110,7 +110,7 @@ class WordEncoder:
     def __init__(self, path: str, cache_bytes: int = 40 << 20):
         import regex
 
-        self.tokenizer = load_tokenizer(path)
+        self.path, self.tokenizer = path, load_tokenizer(path)
         self.model = self.tokenizer.model
         self.findall = regex.compile(WORD_PATTERN).findall
         self.usual = regex.compile(USUAL).fullmatch
@@ -179,16 +179,6 @@ class WordEncoder:
         return ids, np.array([0, len(ids)])
 
 
-_encoders: dict[str, WordEncoder] = {}
-
-
-def worker_encoder(path: str) -> WordEncoder:
-    """The Python worker's encoder, whose cache outlives a task."""
-    if path not in _encoders:
-        _encoders[path] = WordEncoder(path)
-    return _encoders[path]
-
-
 def cut_pieces(docs: DataFrame, path: str, length: int, end_id: int, groups: int, seed: int, doc_id: str, text: str) -> DataFrame:
     """Pieces of at most ``length`` ids, each with its checksum and its packing group.
 
@@ -196,7 +186,9 @@ def cut_pieces(docs: DataFrame, path: str, length: int, end_id: int, groups: int
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = worker_encoder(path)
+        encoder = held("packing", lambda: WordEncoder(path))
+        if encoder.path != path:
+            encoder.__init__(path)
         for batch in small_batches(batches, limit=PART):
             ids, offsets = encoder.encode_whole(batch.column("text"))
             ids = np.insert(ids, offsets[1:], end_id).astype("<u4")
@@ -212,7 +204,7 @@ def cut_pieces(docs: DataFrame, path: str, length: int, end_id: int, groups: int
             yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(at), *map(pa.array, (start, size, np.array(sums, np.int64), tokens[owner])), batch.column("pack_group").take(at)], ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "pack_group"])
 
     group = F.pmod(F.xxhash64(F.lit(seed), F.col(doc_id).cast("long"), F.monotonically_increasing_id()), F.lit(groups))
-    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), group.alias("pack_group")).mapInArrow(run, PIECES)
+    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), group.alias("pack_group")).mapInArrow(tidied(run, "packing"), PIECES)
 
 
 def lay_out_group(length: int):

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillmill.llm.common import NULL_ID, attach, bytes_of, discard, materialize, mix64, small_batches, with_text_key
+from quillmill.llm.common import NULL_ID, attach, bytes_of, discard, materialize, mix64, small_batches, tidied, with_text_key
 
 CHUNKS = "h1 long, h2 long, did long, rh long, place long"
 #: Bits of ``place`` below the offset: 12 for the length, one for "seen before in this document".
@@ -129,7 +129,7 @@ def chunks(keyed: DataFrame, spread: int, smallest: int, largest: int) -> DataFr
             did, rh = (np.asarray(batch.column(c))[number] for c in ("did", "rh"))
             yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c)) for c in (h1, h2, did, rh, place)], ["h1", "h2", "did", "rh", "place"])
 
-    return keyed.mapInArrow(run, CHUNKS)
+    return keyed.mapInArrow(tidied(run), CHUNKS)
 
 
 def shared_ids(keyed: DataFrame) -> tuple[DataFrame, DataFrame] | None:
@@ -228,13 +228,14 @@ def dedup_substrings(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
             kinds = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.string()]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["doc_id", "text", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
-    return joined.mapInArrow(run, "doc_id long, text string, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    return joined.mapInArrow(tidied(run), "doc_id long, text string, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
 def cut_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n_chars: str = "n_chars", min_run: int = 96, spread: int = 2, smallest: int = 16, largest: int = 160) -> DataFrame:
     """``docs``, with all its columns, its texts without repeats and ``n_chars`` counted anew.
 
-    Every row stays; a text that is all repeats becomes empty, a null text stays null.
+    Every row stays; a text that is all repeats becomes empty, a null text stays null.  A written table,
+    so that the Arrow batches of whole rows are bounded.
     """
     names, kinds = docs.columns, docs.schema
     joined = noted_rows(docs, doc_id, text, spread, smallest, largest).select(*[F.col("row")[c].alias(c) for c in names], F.col("places").alias("repeat_places"), F.col("again").alias("repeat_row"))
@@ -256,4 +257,4 @@ def cut_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n_c
                 columns[at] = pa.array([len(t) if c else old for old, t, c in zip(columns[at].to_pylist(), kept, changed)], columns[at].type)
             yield pa.RecordBatch.from_arrays(columns, names)
 
-    return joined.mapInArrow(run, kinds)
+    return materialize(joined.mapInArrow(tidied(run), kinds), "without-repeats")

@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillmill.llm.common import NULL_ID, attach, bytes_of, discard, materialize, mix64, small_batches, with_text_key
+from quillmill.llm.common import NULL_ID, attach, bytes_of, discard, materialize, mix64, small_batches, tidied, with_text_key
 from quillmill.llm.substring_dedup import cut_spans
 
 ANCHORS = "kh long, e1 long, e2 long, did long, rh long, place long"
@@ -153,7 +153,7 @@ def anchor_rows(keyed: DataFrame, length: int, gram: int, short: int) -> DataFra
             columns = (keys, np.ascontiguousarray(digests[:, 0]), np.ascontiguousarray(digests[:, 1]), did, rh, (first << COUNT_BITS) | count)
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["kh", "e1", "e2", "did", "rh", "place"])
 
-    return keyed.where(F.octet_length("text") >= short).mapInArrow(run, ANCHORS)
+    return keyed.where(F.octet_length("text") >= short).mapInArrow(tidied(run), ANCHORS)
 
 
 def refine_buckets(data: np.ndarray, depth: int, q: int = 8) -> np.ndarray:
@@ -271,7 +271,7 @@ def contexts(keyed: DataFrame, needed: DataFrame, length: int) -> tuple[DataFram
             columns = list(zip(*out))
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, [pa.int64()] * 5 + [pa.binary()])], ["kh", "did", "rh", "place", "weight", "context"])
 
-    return joined.select("did", "rh", "text", "ranges").mapInArrow(run, "kh long, did long, rh long, place long, weight long, context binary"), per_document
+    return joined.select("did", "rh", "text", "ranges").mapInArrow(tidied(run), "kh long, did long, rh long, place long, weight long, context binary"), per_document
 
 
 def window_digests(length: int):
@@ -308,12 +308,12 @@ def removed_spans(keyed: DataFrame, length: int, gram: int, short: int, slab_byt
     needed = materialize(classes.join(groups.hint("shuffle_merge"), "kh").select("kh", "one.*", "weight", "ranges"), "suffix-rims")
     rims, read = contexts(keyed, needed.where(F.col("ranges") <= slab_ranges), length)
     used = [hits, classes, groups, needed, read]
-    settled = rims.repartition("kh").sortWithinPartitions("kh").mapInArrow(settle_slabs(length, slab_bytes), "did long, rh long, begin long, stop long")
+    settled = rims.repartition("kh").sortWithinPartitions("kh").mapInArrow(tidied(settle_slabs(length, slab_bytes)), "did long, rh long, begin long, stop long")
     spans = inside.union(settled)
     large = needed.where(F.col("ranges") > slab_ranges)
     if not large.isEmpty():
         extents, read = contexts(keyed, large, length)
-        windows = materialize(extents.dropDuplicates(["kh", "did", "rh", "place"]).mapInArrow(window_digests(length), "w1 long, w2 long, did long, rh long, begin long, weight long"), "suffix-windows")
+        windows = materialize(extents.dropDuplicates(["kh", "did", "rh", "place"]).mapInArrow(tidied(window_digests(length)), "w1 long, w2 long, did long, rh long, begin long, weight long"), "suffix-windows")
         twice = materialize(windows.groupBy("w1", "w2").agg(F.sum("weight").alias("n")).where("n > 1").select("w1", "w2"), "suffix-twice")
         spans = spans.union(windows.where("weight = 1").join(twice.hint("shuffle_merge"), ["w1", "w2"]).select("did", "rh", "begin", (F.col("begin") + length).alias("stop")))
         used += [read, windows, twice]
@@ -366,4 +366,4 @@ def dedup_suffixes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
             kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary()]
             yield pa.RecordBatch.from_arrays([*(pa.array(c, k) for c, k in zip(columns, kinds)), batch.column("n_repeats")], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept", "n_repeats"])
 
-    return joined.mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary, n_repeats long")
+    return joined.mapInArrow(tidied(run), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary, n_repeats long")

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillmill.llm.common import BoundedCache, bytes_of, hashed_sample, small_batches, texts_of
+from quillmill.llm.common import BoundedCache, bytes_of, hashed_sample, held, small_batches, texts_of, tidied
 
 #: Fixed value: the byte-level BPE pre-tokenizer's published pattern.
 BYTE_LEVEL_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -31,20 +31,16 @@ BYTE_LEVEL_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N
 PART = 2_000_000
 SCHEMA = "doc_id long, n_bytes long, n_tokens long, over_limit boolean"
 
-_loaded: dict = {}
-
 
 def load_tokenizer(path: str):
-    """The tokenizer of a file, once per process, single-threaded."""
-    if path not in _loaded:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+    """The tokenizer of a file, single-threaded."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    from tokenizers import Tokenizer
 
-        tokenizer = Tokenizer.from_file(path)
-        tokenizer.no_truncation()
-        tokenizer.no_padding()
-        _loaded[path] = tokenizer
-    return _loaded[path]
+    tokenizer = Tokenizer.from_file(path)
+    tokenizer.no_truncation()
+    tokenizer.no_padding()
+    return tokenizer
 
 
 def pack_table(lengths: dict[str, int]) -> tuple[bytes, np.ndarray, np.ndarray]:
@@ -73,7 +69,7 @@ class PreTokenCounter:
     def __init__(self, path: str, table=None, cache_bytes: int = 32 << 20):
         import regex
 
-        self.tokenizer = load_tokenizer(path)
+        self.path, self.tokenizer = path, load_tokenizer(path)
         self.findall = regex.compile(BYTE_LEVEL_PATTERN).findall
         self.unusual = regex.compile(f"[^\x00-\u2fff{STABLE}]").search
         self.segments = regex.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+").findall
@@ -137,16 +133,14 @@ class PreTokenCounter:
         return re.compile(r"(?<=[a-z]) (?=[a-z])").finditer(text, at)
 
 
-_counters: dict[str, PreTokenCounter] = {}
-
-
 def worker_counter(path: str, table) -> PreTokenCounter:
     """The Python worker's counter, whose cache outlives a task; the table may differ by query."""
-    if path not in _counters:
-        _counters[path] = PreTokenCounter(path)
-    if _counters[path].table is not table:
-        _counters[path].table, _counters[path].frequent = table, unpack_table(table)
-    return _counters[path]
+    counter = held("token_counts", lambda: PreTokenCounter(path, table))
+    if counter.path != path:
+        counter.__init__(path, table)
+    if counter.table is not table:
+        counter.table, counter.frequent = table, unpack_table(table)
+    return counter
 
 
 def frequent_table(docs: DataFrame, path: str, sample_rows: int = 400, sample_bytes: int = 16_384, entries: int = 32_768, doc_id: str = "doc_id", text: str = "text"):
@@ -183,4 +177,4 @@ def count_tokens(docs: DataFrame, tokenizer_path: str | None = None, limit: int
             sizes = pa.array([len(x) for x in bytes_of(batch.column("text"))], pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), sizes, pa.array(counts), pa.array(counts > limit)], ["doc_id", "n_bytes", "n_tokens", "over_limit"])
 
-    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, SCHEMA)
+    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(tidied(run, "token_counts"), SCHEMA)
