@@ -146,15 +146,15 @@ def q_math_spans(spark, d):
 SENTENCES = f"list_filter(list_transform(string_split(regexp_replace(text, '([.!?]){WS}+', '\\1' || chr(1), 'g'), chr(1)), lambda x: trim(x)), lambda x: x <> '')"
 
 
-@query(f"SELECT doc_id, len({SENTENCES})::INT AS n_sentences, {SENTENCES}[1] AS first_sentence FROM documents WHERE n_chars > 0")
+@query(f"SELECT doc_id, len({SENTENCES})::INT AS n_sentences, {SENTENCES}[1] AS first_sentence FROM documents")
 def q_sentences(spark, d):
     s = text.sentences(F.col("text"))
-    return table(spark, d, "documents").where("n_chars > 0").select("doc_id", F.size(s).alias("n_sentences"), F.try_element_at(s, F.lit(1)).alias("first_sentence"))
+    return table(spark, d, "documents").select("doc_id", F.size(s).alias("n_sentences"), F.try_element_at(s, F.lit(1)).alias("first_sentence"))
 
 
 @query()
 def q_pack_sentences(spark, d):
-    packed = table(spark, d, "documents").where(~text.has_math(F.col("text"))).select("doc_id", F.posexplode(segments.pack_sentences(F.col("text"), 400)).alias("at", "chunk"))
+    packed = table(spark, d, "documents").select("doc_id", F.posexplode(segments.pack_sentences(F.col("text"), 400)).alias("at", "chunk"))
     return packed.select("doc_id", "at", "chunk")
 
 
@@ -387,10 +387,10 @@ def q_keep_last(spark, d):
     return rows.keep_last(table(spark, d, "events").select("user_id", "event_type", "event_id", "value", "ts"), ["user_id", "event_type"], ["ts", "event_id"]).drop("ts")
 
 
-@query("SELECT o_orderkey, o_totalprice / 3600 AS hours, CASE WHEN o_orderstatus = 'O' AND o_orderkey <= 1000 THEN 'open early' WHEN o_orderstatus = 'F' AND o_orderkey > 1000 THEN 'filled late' END AS series FROM orders WHERE o_totalprice IS NOT NULL AND o_orderkey % 50 = 0 AND ((o_orderstatus = 'O' AND o_orderkey <= 1000) OR (o_orderstatus = 'F' AND o_orderkey > 1000))")
+@query("SELECT o_orderkey, o_totalprice / 3600 AS hours, CASE WHEN o_orderstatus = 'O' AND o_orderkey <= 1000 THEN 'open early' WHEN o_orderstatus = 'F' AND o_orderkey > 1000 THEN 'filled late' END AS series FROM orders WHERE o_totalprice IS NOT NULL AND ((o_orderstatus = 'O' AND o_orderkey <= 1000) OR (o_orderstatus = 'F' AND o_orderkey > 1000))")
 def q_series(spark, d):
     series = F.when((F.col("o_orderstatus") == "O") & (F.col("o_orderkey") <= 1000), "open early").when((F.col("o_orderstatus") == "F") & (F.col("o_orderkey") > 1000), "filled late")
-    kept = table(spark, d, "orders").where(F.col("o_totalprice").isNotNull() & (F.col("o_orderkey") % 50 == 0))
+    kept = table(spark, d, "orders").where(F.col("o_totalprice").isNotNull())
     return kept.select("o_orderkey", (F.col("o_totalprice") / 3600).alias("hours"), series.alias("series")).where("series is not null")
 
 
