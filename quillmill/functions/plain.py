@@ -5,11 +5,12 @@ from __future__ import annotations
 import html
 import re
 
-from quillmill.functions.text import CITATIONS, DROPPED_PREFIXES, FLOAT_MENTION, MATH_SPAN, REFERENCE_HEADINGS
+from quillmill.functions.text import CITATIONS, DROPPED_PREFIXES, FLOAT_MENTION, HEADING_NUMBER, MARKS, MATH_SPAN, NAMED_SECTIONS, REFERENCE_HEADINGS, SECTION_NUMBER
 
 _math = re.compile(MATH_SPAN, re.DOTALL)
 _cuts = [re.compile(p) for p in CITATIONS] + [re.compile(FLOAT_MENTION, re.IGNORECASE)]
-_numbering = re.compile(r"^\s*(?:\d+(?:\.\d+)*|[A-Z])\.?\s+")
+_heading_number, _section_number = re.compile(HEADING_NUMBER), re.compile(SECTION_NUMBER)
+_space_before_mark = re.compile(r"\s+" + MARKS)
 
 
 def squeeze(text: str | None) -> str:
@@ -23,9 +24,14 @@ def spans(text: str) -> list[tuple[bool, str]]:
 
 
 def clean_prose(text: str) -> str:
+    """As the column function of that name: ends keep one space where they had any."""
     for cut in _cuts:
         text = cut.sub("", text)
-    return re.sub(r"\s+", " ", re.sub(r"\s+([.,;:?!])", r"\1", text))
+    text = _space_before_mark.sub(r"\1", text)
+    words = text.split()
+    if not words:
+        return " " if text else ""
+    return " " * text[0].isspace() + " ".join(words) + " " * text[-1].isspace()
 
 
 def clean_text(text: str) -> str:
@@ -43,13 +49,11 @@ def kept_paragraph(text: str, least: int = 80) -> bool:
 
 
 def dropped_heading(heading: str) -> bool:
-    bare = _numbering.sub("", heading.strip()).lower()
-    return bare in REFERENCE_HEADINGS or bare.startswith(tuple(DROPPED_PREFIXES))
+    bare = _heading_number.sub("", heading.strip(), count=1).lower()
+    return bare in REFERENCE_HEADINGS or any(map(bare.startswith, DROPPED_PREFIXES))
 
 
 def section_name(heading: str) -> str:
-    bare = re.sub(r"^\d+(?:\.\d+)*\s*", "", heading.strip().lower())
-    for name in ("abstract", "introduction", "conclusion"):
-        if name in bare:
-            return name
-    return re.sub("[^a-z0-9]+", "_", bare).strip("_") or "body"
+    bare = _section_number.sub("", heading.strip().lower(), count=1)
+    slug = "_".join(re.findall("[a-z0-9]+", bare))
+    return next((name for name in NAMED_SECTIONS if name in bare), slug or "body")

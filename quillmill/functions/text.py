@@ -12,7 +12,7 @@ SPACES = r"[\x09-\x0d\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{20
 #: A run of white space that is anything but one plain space: the only runs that normalising changes.
 ODD_RUN = SPACES.replace(r"\x1c-\x20", r"\x1c-\x1f") + SPACES + "*| " + SPACES + "+"
 
-# Self-talk phrases, script ranges, heading words, citation patterns and limits that
+# Self-talk phrases, script ranges, heading words and numbers, citation patterns and limits that
 # decide which rows are kept.
 SELF_TALK = [
     r"<\s*/?\s*think\s*>",
@@ -25,6 +25,10 @@ HAN = r"[\x{4e00}-\x{9fff}]"
 OTHER_SCRIPTS = r"[\x{3040}-\x{30ff}\x{ac00}-\x{d7af}\x{0400}-\x{04ff}\x{0370}-\x{03ff}\x{0590}-\x{05ff}\x{0600}-\x{06ff}\x{0900}-\x{097f}\x{0e00}-\x{0e7f}]"
 REFERENCE_HEADINGS = ["references", "bibliography", "参考文献"]
 DROPPED_PREFIXES = ["acknowledgment", "acknowledgement", "appendix", "supplementary"]
+HEADING_NUMBER = r"^\s*(?:\d+(?:\.\d+)*|[A-Z])\.?\s+"
+SECTION_NUMBER = r"^\d+(?:\.\d+)*\s*"
+NAMED_SECTIONS = ["abstract", "introduction", "conclusion"]
+MARKS = "([.,;:?!])"
 CITATIONS = [
     r"\[(?:\s*\d+\s*(?:[-,;]\s*\d+\s*)*)\]",
     r"\[\s*[A-Za-z][A-Za-z0-9:_./-]*\d+[A-Za-z0-9:_./-]*\s*\]",
@@ -135,12 +139,12 @@ def clean_prose(text: Column) -> Column:
     for pattern in CITATIONS:
         out = F.regexp_replace(out, "(?U)" + pattern, "")
     out = F.regexp_replace(out, "(?iU)" + FLOAT_MENTION, "")
-    out = F.regexp_replace(out, SPACES + "+([.,;:?!])", "$1")
+    out = F.regexp_replace(out, SPACES + "+" + MARKS, "$1")
     return F.regexp_replace(out, SPACES + "+", " ")
 
 
 def dropped_heading(heading: Column) -> Column:
-    bare = F.lower(F.regexp_replace(F.trim(heading), r"^\s*(?:\d+(?:\.\d+)*|[A-Z])\.?\s+", ""))
+    bare = F.lower(F.regexp_replace(F.trim(heading), HEADING_NUMBER, ""))
     hit = bare.isin(REFERENCE_HEADINGS)
     for prefix in DROPPED_PREFIXES:
         hit = hit | bare.startswith(prefix)
@@ -148,9 +152,10 @@ def dropped_heading(heading: Column) -> Column:
 
 
 def section_name(heading: Column) -> Column:
-    bare = F.regexp_replace(F.lower(F.trim(heading)), r"^\d+(?:\.\d+)*\s*", "")
+    bare = F.regexp_replace(F.lower(F.trim(heading)), SECTION_NUMBER, "")
     slug = F.regexp_replace(F.regexp_replace(bare, "[^a-z0-9]+", "_"), "^_+|_+$", "")
-    return F.when(bare.contains("abstract"), "abstract").when(bare.contains("introduction"), "introduction").when(bare.contains("conclusion"), "conclusion").otherwise(F.coalesce(F.nullif(slug, F.lit("")), F.lit("body")))
+    named = [F.when(bare.contains(name), name) for name in NAMED_SECTIONS]
+    return F.coalesce(*named, F.nullif(slug, F.lit("")), F.lit("body"))
 
 
 def latex_escape(text: Column) -> Column:

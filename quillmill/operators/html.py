@@ -184,13 +184,21 @@ def is_noise(group: str, tags: tuple[str, ...], classes: tuple[str, ...], node:
     return node.tag in tags or any(c in own for c in classes)
 
 
+def take_out(nodes: list[Node]) -> None:
+    """Remove nodes from their parents; each parent's children are gone through once, however many go."""
+    gone = {id(n) for n in nodes}
+    for parent in {id(n.parent): n.parent for n in nodes if n.parent is not None}.values():
+        parent.children = [c for c in parent.children if id(c) not in gone]
+    for node in nodes:
+        node.parent = None
+
+
 def remove_noise(root: Node) -> dict[str, int]:
     counts = {"math": write_math(root)}
     for group, tags, classes in NOISE:
         nodes = found(root, lambda n: is_noise(group, tags, classes, n))
         counts[group] = len(nodes)
-        for node in nodes:
-            node.replace()
+        take_out(nodes)
     return counts
 
 

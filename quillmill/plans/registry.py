@@ -152,10 +152,18 @@ def q_sentences(spark, d):
     return table(spark, d, "documents").select("doc_id", F.size(s).alias("n_sentences"), F.try_element_at(s, F.lit(1)).alias("first_sentence"))
 
 
-@query()
+@query(f"""WITH RECURSIVE split AS MATERIALIZED (SELECT doc_id, {SENTENCES} AS ss FROM documents),
+ placed(doc_id, i, chunk, size, long) AS (
+  SELECT doc_id, 0, 0, 0, false FROM split
+  UNION ALL
+  SELECT doc_id, i + 1, chunk + (n > 400 OR long OR size > 0 AND size + n + 1 > 400)::INT, CASE WHEN n > 400 THEN 0 WHEN size > 0 AND size + n + 1 > 400 THEN n ELSE size + n + 1 END, n > 400
+  FROM (SELECT placed.*, length(ss[i + 1]) AS n FROM placed JOIN split USING (doc_id) WHERE i < len(ss))),
+ chunks AS (SELECT doc_id, chunk, bool_or(long) AS long, string_agg(ss[i], ' ' ORDER BY i) AS body FROM placed JOIN split USING (doc_id) WHERE i > 0 GROUP BY ALL),
+ cut AS (SELECT doc_id, chunk, unnest(CASE WHEN long THEN range(0, length(body), 400) ELSE [0] END) AS start, long, body FROM chunks)
+ SELECT doc_id, (row_number() OVER (PARTITION BY doc_id ORDER BY chunk, start) - 1)::INT AS place, CASE WHEN long THEN substr(body, start + 1, 400) ELSE body END AS chunk FROM cut""")
 def q_pack_sentences(spark, d):
-    packed = table(spark, d, "documents").select("doc_id", F.posexplode(segments.pack_sentences(F.col("text"), 400)).alias("at", "chunk"))
-    return packed.select("doc_id", "at", "chunk")
+    packed = table(spark, d, "documents").select("doc_id", F.posexplode(segments.pack_sentences(F.col("text"), 400)).alias("place", "chunk"))
+    return packed.select("doc_id", "place", "chunk")
 
 
 @query()
@@ -219,8 +227,8 @@ def q_strip_citations(spark, d):
 
 
 HEADS = "(1, '3.1 Related Work'), (2, 'A. Appendix'), (3, 'References'), (4, 'Abstract'), (5, '1 Introduction and Aims'), (6, 'Acknowledgements'), (7, '5 Conclusions'), (8, '***'), (9, 'B Supplementary Material'), (10, '参考文献')"
-BARE = r"lower(regexp_replace(trim(h), '^\s*(\d+(\.\d+)*|[A-Z])\.?\s+', ''))"
-NAME = r"regexp_replace(lower(trim(h)), '^\d+(\.\d+)*\s*', '')"
+BARE = f"lower(regexp_replace(trim(h), '{text.HEADING_NUMBER}', ''))"
+NAME = f"regexp_replace(lower(trim(h)), '{text.SECTION_NUMBER}', '')"
 
 
 @query(f"""SELECT id, ({BARE} IN ('references', 'bibliography', '参考文献') OR regexp_matches({BARE}, '^(acknowledgment|acknowledgement|appendix|supplementary)')) AS dropped,
@@ -453,7 +461,18 @@ def q_response_text(spark, d):
 # ---- pages ---------------------------------------------------------------------------------------
 
 
-@query()
+def removed_sql(group: str, opening: str) -> str:
+    return f"'{group}=' || len(regexp_extract_all(html, '(?i){opening}'))"
+
+
+#: Elements that the cleaner takes out, by what opens them; the table has none inside another.
+REMOVED = {"captions": r"<figcaption[\s>]", "citations": 'href="#bib', "figures": r"<(?:figure|img)[\s/>]", "math": r"<math[\s>]", "references": 'id="bib', "scripts": r"<(?:script|style|noscript)[\s>]", "tables": r"<table[\s>]"}
+
+
+@query(f"""WITH heads AS (SELECT page_id, html, replace(replace(replace(regexp_replace(coalesce(nullif(regexp_extract(html, '(?s)<h1[^>]*>(.*?)</h1>', 1), ''), regexp_extract(html, '(?s)<title>(.*?)</title>', 1)), '&amp;?', '&', 'g'), '&lt;', '<'), '&gt;', '>'), '&quot;', '"') AS h FROM pages),
+ pieces AS (SELECT *, string_split(regexp_replace(h, '(?s){text.MATH_SPAN}', chr(1), 'g'), chr(1)) AS prose, regexp_extract_all(h, '(?s){text.MATH_SPAN}', 1) AS spans FROM heads)
+ SELECT page_id, trim(array_to_string(list_transform(list_zip(list_transform(prose, lambda t: {CLEAN_SQL}), spans), lambda z: z[1] || coalesce(z[2], '')), '')) AS title,
+ len(regexp_extract_all(html, '(?i)<section[\\s>]'))::INT AS n_sections, array_to_string([{", ".join(removed_sql(g, o) for g, o in REMOVED.items())}], ',') AS removed FROM pieces""")
 def q_html_documents(spark, d):
     from quillmill.operators.html import clean_html
 
@@ -478,12 +497,27 @@ def _pairs(spark, d):
     return items.join(docs, "item_id").select("item_id", "prediction", "reference").unionByName(items.select((-F.col("item_id") - 1).alias("item_id"), F.col("reference").alias("prediction"), "reference"))
 
 
-@query()
+def bleu_sql(key: str, rest: str) -> str:
+    """BLEU by the value of ``key``, 0 for all pairs together; ``rest`` is what else is selected of its pairs."""
+    out = f"regexp_replace(trim(coalesce(x, '')), '{bleu.CJK}', ' \\1 ', 'g')"
+    for pattern, new in ((r"([{-~\[-` -&(-+:-@/])", r" \1 "), ("([^0-9])([.,])", r"\1 \2 "), ("([.,])([^0-9])", r" \1 \2"), ("([0-9])(-)", r"\1 \2 ")):
+        out = f"regexp_replace({out}, '{pattern}', '{new}', 'g')"
+    words = f"list_filter(string_split_regex({out}, '\\s+'), lambda t: t <> '')"
+    grams = "SELECT k, n, unnest(list_transform(range(1, len({0}) - n + 2), lambda i: array_to_string({0}[i:i + n - 1], ' '))) AS g, {1} AS side FROM split, range(1, 5) AS o(n)"
+    return f"""WITH pairs AS MATERIALIZED (SELECT b.item_id, d.text AS p, b.text AS r FROM benchmark b JOIN documents d ON d.doc_id = b.item_id UNION ALL SELECT -item_id - 1, text, text FROM benchmark),
+ split AS MATERIALIZED (SELECT row_number() OVER () AS k, item_id, length(p) AS p_chars, length(r) AS r_chars, list_transform([p, r], lambda x: {words}) AS sides, sides[1] AS pw, sides[2] AS rw FROM pairs),
+ met AS (SELECT k, n, sum(least(mine, theirs)) AS m FROM (SELECT k, n, g, sum(side) AS mine, sum(1 - side) AS theirs FROM ({grams.format("pw", 1)} UNION ALL {grams.format("rw", 0)}) GROUP BY ALL) GROUP BY ALL),
+ sums AS (SELECT {key} AS key, n, sum(coalesce(m, 0)) AS m, sum(greatest(len(pw) - n + 1, 0)) AS total, sum(len(pw))::BIGINT AS sys_len, sum(len(rw))::BIGINT AS ref_len, count(*) AS n_pairs, min(p_chars / greatest(r_chars, 1)) AS length_ratio FROM split CROSS JOIN range(1, 5) AS o(n) LEFT JOIN met USING (k, n) GROUP BY ALL),
+ logs AS (SELECT *, ln(CASE WHEN m = 0 THEN 100.0 / (2 ** sum((m = 0 AND total > 0)::INT) OVER (PARTITION BY key ORDER BY n) * greatest(total, 1)) ELSE 100.0 * m / greatest(total, 1) END) AS log FROM sums)
+ SELECT {rest}, CASE WHEN sys_len > 0 AND min(total) > 0 AND max(m) > 0 THEN CASE WHEN sys_len < ref_len THEN exp(1 - ref_len / sys_len) ELSE 1 END * exp(sum(log ORDER BY n) / 4) ELSE 0 END AS bleu FROM logs GROUP BY key, sys_len, ref_len, n_pairs, length_ratio"""
+
+
+@query(bleu_sql("item_id", "key AS item_id, length_ratio"))
 def q_bleu_rows(spark, d):
     return bleu.sentence_bleu(_pairs(spark, d)).select("item_id", "bleu", "length_ratio")
 
 
-@query()
+@query(bleu_sql("0", "n_pairs, sys_len, ref_len"))
 def q_bleu_corpus(spark, d):
     return bleu.corpus_bleu(_pairs(spark, d))
 

@@ -121,6 +121,12 @@ def test_page_cleaning(spark):
     assert page.removed_counts == {"math": 2, "citations": 2, "tables": 1, "figures": 2, "captions": 0, "references": 0, "scripts": 1}
 
 
+def test_pages_with_very_many_removed_elements():
+    page = html.clean_page("<section><h2>1 Aims</h2><p>" + "<img>word " * 20_000 + "<table><tr><td><img></td></tr></table></section>")
+    assert page["removed_counts"]["figures"] == 20_000 and page["removed_counts"]["tables"] == 1
+    assert [s["paragraphs"] for s in page["sections"]] == [[" ".join(["word"] * 20_000)]]
+
+
 def test_plain_text_cleaner():
     assert plain.clean_text("Alpha [12] beta $x+y$ and $$L=x^2$$.") == "Alpha beta $x+y$ and $$L=x^2$$."
     assert plain.clean_text("A &amp;lt; b [key2020x, other2021y] , c") == "A &lt; b, c"

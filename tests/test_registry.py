@@ -42,7 +42,7 @@ def documents(oracle):
 
 def packed_sentences(oracle):
     for i, t, _ in documents(oracle):
-        yield from ({"doc_id": i, "at": k, "chunk": c} for k, c in enumerate(fold(t or "", 400)))
+        yield from ({"doc_id": i, "place": k, "chunk": c} for k, c in enumerate(fold(t or "", 400)))
 
 
 def segment_rows(oracle, least=180, target=1400, most=1800):
@@ -124,11 +124,11 @@ def test_query(spark, oracle, name):
     if name in registry.ORACLE_SQL:
         want = oracle.execute(f"SELECT {', '.join(columns)} FROM ({registry.ORACLE_SQL[name]})").fetchall()
         assert plain(got) == plain(want)
-    elif name in BRUTE_FORCE:
+    if name in BRUTE_FORCE:
         want = [tuple(r[c] for c in columns) for r in BRUTE_FORCE[name](oracle)]
         assert plain(got) == plain(want) and got
-    else:
-        assert name == "q_html_documents"
+    assert name in registry.ORACLE_SQL or name in BRUTE_FORCE
+    if name == "q_html_documents":
         pages = dict(oracle.execute("SELECT page_id, html FROM pages").fetchall())
         assert sorted(r.page_id for r in df.collect()) == sorted(pages)
         for r in df.collect():
