@@ -393,3 +393,31 @@ def test_pipeline_stages_take_effect(spark, tmp_path):
     assert set(seen[2]) - set(seen[3]) == {45}
     pieces = corpus_pipeline.run(spark, str(tmp_path)).collect()
     assert {r.doc_id for r in pieces} == set(seen[3])
+
+
+def test_jaccard_join_keeps_other_texts_out_of_the_shuffle(spark, monkeypatch):
+    from quillmill.llm import jaccard_join
+    from quillmill.llm.common import with_text_key
+
+    rng = random.Random(11)
+    docs = documents() + [(5000 + k, prose(rng, 30)) for k in range(400)]
+    keyed = with_text_key(frame(spark, docs))
+    wanted = keyed.where("did % 40 = 0 or did < 0").select("did", "rh").distinct()
+    keys = {tuple(r) for r in wanted.collect()}
+    for most_bits in (24, 6):  # a full bitmap lets others pass, too
+        got = [(r.did, r.rh) for r in jaccard_join.likely_rows(keyed, wanted, len(keys), most_bits).collect()]
+        assert Counter(x for x in got if x in keys) == Counter((r.did, r.rh) for r in keyed.collect() if (r.did, r.rh) in keys)
+        assert most_bits == 6 or len([x for x in got if x not in keys]) < 0.15 * len(docs)
+    want = Counter(map(tuple, jaccard_join.jaccard_components(frame(spark, docs)).select("doc_id", "component_id").collect()))
+    asked = []
+    monkeypatch.setattr(jaccard_join, "fits_broadcast", lambda *a: False)
+    monkeypatch.setattr(jaccard_join, "likely_rows", lambda *a, real=jaccard_join.likely_rows: asked.append(1) or real(*a))
+    got = Counter(map(tuple, jaccard_join.jaccard_components(frame(spark, docs)).select("doc_id", "component_id").collect()))
+    assert asked and got == want
+
+
+def test_jaccard_join_deletes_the_prefixes_of_all_copies(spark):
+    from quillmill.llm.jaccard_join import linked_rows
+
+    out = linked_rows(frame(spark, documents()))
+    assert "prefix" not in out.reads[0].columns and out.count() == len(documents())

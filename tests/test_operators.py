@@ -2,6 +2,8 @@
 
 import json
 import re
+import time
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -252,6 +254,24 @@ def test_written_tables_leave_the_session_as_it_was(spark, monkeypatch):
     assert not files.exists(spark, written.materialized_at)
 
 
+def test_written_tables_leave_no_shuffle_files(spark):
+    from quillmill.sources import durable
+
+    def shuffles():
+        folders = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+        return {f.name for d in folders for f in Path(d).rglob("shuffle_*")}
+
+    before = shuffles()
+    counts = spark.range(50_000).groupBy((F.col("id") % 997).alias("k")).count()
+    written = durable.materialize(counts, "some")
+    for _ in range(50):  # they are deleted in the background
+        if not shuffles() - before:
+            break
+        time.sleep(0.2)
+    assert not shuffles() - before and written.count() == 997
+    durable.discard(written)
+
+
 def test_top_k_ties_and_own_lists(spark, tmp_path):
     df = spark.createDataFrame([(0, "z"), (1, "a"), (2, "a"), (3, "z"), (4, "m")], "at int, v string")
     assert [r.value for r in summaries.top_k(df, F.col("v"), 2, position="at").collect()] == ["z", "a"]
