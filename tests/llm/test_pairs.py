@@ -3,6 +3,7 @@
 import hashlib
 import random
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -421,3 +422,24 @@ def test_jaccard_join_deletes_the_prefixes_of_all_copies(spark):
 
     out = linked_rows(frame(spark, documents()))
     assert "prefix" not in out.reads[0].columns and out.count() == len(documents())
+
+
+def test_written_tables_go_with_the_next_stage(spark, tmp_path):
+    import corpus_pipeline
+    from quillmill.llm.jaccard_join import keep_one_of_each
+    from quillmill.sources.durable import checkpoint_dir
+
+    def tables():
+        return {p.name for p in Path(checkpoint_dir(spark).removeprefix("file://"), "quillmill").glob("*")}
+
+    before = tables()
+    kept = keep_one_of_each(frame(spark, documents()))
+    assert {x.rsplit("-", 1)[0] for x in tables() - before} <= {"jaccard-gone"} and kept.count()
+    before, rng = tables(), random.Random(21)
+    rows = [(k, prose(rng, 120), "en", "s", 1) for k in range(30)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, prose(rng, 30))], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    pieces = corpus_pipeline.run(spark, str(tmp_path))
+    left = {x.rsplit("-", 1)[0] for x in tables() - before}
+    assert {x for x in left if x.startswith("pipeline-") or x in ("accepted", "without-repeats")} == {"pipeline-benchmark_decontamination"}
+    assert pieces.count() >= 30
